@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.filters import flatten
 from ..operators.sessions import longest_streaks, session_counts
 from ..plans import activity as act
 from ..session import fresh_dir
@@ -15,21 +16,22 @@ LOW, HIGH = "2024-01-05", "2024-01-25"
 _INSIDE = f"CAST(created_at AS DATE) BETWEEN DATE '{LOW}' AND DATE '{HIGH}'"
 
 
-def cleaned(spark, sf_dir):
-    return act.clean_events(nested_events(spark, sf_dir))
+def flat(spark, sf_dir):
+    """Flat events for the reports. Their times are not cut to seconds, so that day bounds, which mean
+    the same on whole seconds, reach the file scan."""
+    return flatten(nested_events(spark, sf_dir), act.CLEAN_FIELDS)
 
 
 @query("flatten_events", f"WITH {EVENTS_SQL} SELECT * EXCLUDE (ts) FROM activity")
 def flatten_events(spark, sf_dir):
-    return cleaned(spark, sf_dir)
+    return act.clean_events(nested_events(spark, sf_dir))
 
 
 @query("event_type_counts", f"""
 WITH {EVENTS_SQL} SELECT event_type, COUNT(*) AS count FROM activity WHERE {_INSIDE} GROUP BY 1
 ORDER BY 2 DESC, 1""")
 def event_type_counts(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumnRenamed("ts", "created_at")
-    return act.event_type_counts(events, LOW, HIGH).orderBy(F.desc("count"), "event_type")
+    return act.event_type_counts(flat(spark, sf_dir), LOW, HIGH).orderBy(F.desc("count"), "event_type")
 
 
 def _top_sql(column):
@@ -39,26 +41,26 @@ def _top_sql(column):
 
 @query("top_users", _top_sql("actor_login"))
 def top_users(spark, sf_dir):
-    return act.most_active(cleaned(spark, sf_dir), "actor_login", LOW, HIGH)
+    return act.most_active(flat(spark, sf_dir), "actor_login", LOW, HIGH)
 
 
 @query("top_repos", _top_sql("repo_name"))
 def top_repos(spark, sf_dir):
-    return act.most_active(cleaned(spark, sf_dir), "repo_name", LOW, HIGH)
+    return act.most_active(flat(spark, sf_dir), "repo_name", LOW, HIGH)
 
 
 @query("daily_events", f"""
 WITH {EVENTS_SQL} SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS count
 FROM activity WHERE {_INSIDE} GROUP BY 1 ORDER BY 1""")
 def daily_events(spark, sf_dir):
-    return act.daily_events(cleaned(spark, sf_dir), LOW, HIGH).orderBy("event_date")
+    return act.daily_events(flat(spark, sf_dir), LOW, HIGH).orderBy("event_date")
 
 
 @query("event_type_daily", f"""
 WITH {EVENTS_SQL} SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS count
 FROM activity WHERE {_INSIDE} AND event_type = 'purchase' GROUP BY 1 ORDER BY 1""")
 def event_type_daily(spark, sf_dir):
-    return act.daily_events(cleaned(spark, sf_dir), LOW, HIGH, "purchase").orderBy("event_date")
+    return act.daily_events(flat(spark, sf_dir), LOW, HIGH, "purchase").orderBy("event_date")
 
 
 @query("repo_activity", f"""
@@ -66,7 +68,7 @@ WITH {EVENTS_SQL} SELECT repo_id, repo_name, COUNT(event_id) AS event_count
 FROM activity WHERE created_at >= DATE '2024-01-31' - INTERVAL 21 DAY GROUP BY 1, 2
 ORDER BY 3 DESC, 2""")
 def repo_activity(spark, sf_dir):
-    return act.repo_activity(cleaned(spark, sf_dir), "2024-01-31", 21).orderBy(
+    return act.repo_activity(flat(spark, sf_dir), "2024-01-31", 21).orderBy(
         F.desc("event_count"), "repo_name")
 
 
@@ -111,7 +113,7 @@ def watch_top(spark, sf_dir):
 @query("repo_links", f"""
 WITH {EVENTS_SQL} SELECT event_id, {_URL} AS url FROM activity""")
 def repo_links(spark, sf_dir):
-    return cleaned(spark, sf_dir).select("event_id", act.repo_url("repo_name").alias("url"))
+    return flat(spark, sf_dir).select("event_id", act.repo_url("repo_name").alias("url"))
 
 
 SESSIONS_SQL = """

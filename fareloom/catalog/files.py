@@ -93,8 +93,9 @@ def csv_bad_rows(spark, sf_dir):
     header = "l_orderkey,l_linenumber,quantity,l_linestatus"
     (table(spark, sf_dir, "lineitem").select(line.alias(header)).write.option("header", True)
      .option("quote", "").option("sep", "\u0001").csv(path))
-    schema = T.StructType().add("l_orderkey", "bigint").add("l_linenumber", "int").add(
-        "quantity", "int").add("l_linestatus", "string")
+    schema = T.StructType().add("l_orderkey", T.LongType()).add(
+        "l_linenumber", T.IntegerType()).add("quantity", T.IntegerType()).add(
+        "l_linestatus", T.StringType())
     rows = scan_csv(spark, path, schema, bad_rows="keep")
     return rows.withColumn("is_bad", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 

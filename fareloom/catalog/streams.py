@@ -20,8 +20,9 @@ _CLOSED = "(SELECT MAX(ts) - INTERVAL 5 SECOND FROM events)"
 
 
 def _stream(spark, sf_dir, session):
-    path = f"{sf_dir}/events.parquet"
-    return stream_files(session, path, spark.read.parquet(path).schema)
+    # The braces make the path a pattern, which may name one file as well as a folder.
+    return stream_files(session, f"{sf_dir}/{{events.parquet}}",
+                        table(spark, sf_dir, "events").schema)
 
 
 def _sessions(spark, sf_dir):

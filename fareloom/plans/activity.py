@@ -10,10 +10,10 @@ from ..operators.aggregates import count_by, top_k
 from ..operators.filters import Day, between_days, flatten, last_days, where_eq
 from ..operators.merges import append_new, upsert
 
-# Cleaned names of the nested fields.
+# The nested fields and their cleaned names.
 CLEAN_FIELDS = {
-    "event_id": "id", "event_type": "type", "actor_id": "actor.id", "actor_login": "actor.login",
-    "repo_id": "repo.id", "repo_name": "repo.name", "created_at": "created_at",
+    "id": "event_id", "type": "event_type", "actor.id": "actor_id", "actor.login": "actor_login",
+    "repo.id": "repo_id", "repo.name": "repo_name", "created_at": "created_at",
 }
 WATCH = "WatchEvent"
 
@@ -25,8 +25,7 @@ def land_events(events: DataFrame) -> DataFrame:
 
 def clean_events(events: DataFrame) -> DataFrame:
     """Flat events with whole-second times."""
-    return flatten(events, {name: path for name, path in CLEAN_FIELDS.items()}).withColumn(
-        "created_at", floor_second("created_at"))
+    return flatten(events, CLEAN_FIELDS).withColumn("created_at", floor_second("created_at"))
 
 
 def new_events(stored: DataFrame, cleaned: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def scan_months(spark: SparkSession, root: str, kind: str, months: Sequence[str]
     pattern = template.format(kind=kind, month=marker)
     df = scan_csv(spark, f"{root}/{pattern.replace(marker, '{' + ','.join(months) + '}')}",
                   schema or schemas.TRIP_CSV[kind])
-    name = ".*".join(re.escape(part) for part in pattern.split(marker))
+    name = "[^/]*".join(re.escape(part) for part in pattern.split(marker))
     df = df.withColumn("filename", F.regexp_extract(F.col("_metadata.file_path"), f"({name})", 1))
     return df.repartition(files) if files else df
 

@@ -40,7 +40,7 @@ def stream_events(spark: SparkSession, config: TopicConfig,
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType,
                  max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
-    """Parquet files arriving in a folder. The limits bound one micro-batch of a long backlog."""
+    """Parquet files arriving in a folder, or matching a pattern. The limits bound one micro-batch of a long backlog."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
