@@ -235,7 +235,7 @@ def check_row_total(spark, sf_dir):
 
 @query("check_freshness", _check_sql(
     "freshness", "ts", "error",
-    "(SELECT CAST(MAX(ts) < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 6 HOUR AS INTEGER) FROM events)"))
+    "(SELECT CAST(MAX(ts) < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 6 HOUR AS BIGINT) FROM events)"))
 def check_freshness(spark, sf_dir):
     return quality.check_freshness(table(spark, sf_dir, "events"), "ts", 6,
                                    dt.datetime(2024, 2, 1))
