@@ -17,9 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _money() -> dict[str, Column]:
-    price = F.col("l_extendedprice").cast("decimal(15,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    discount = F.col("l_discount").cast("decimal(3,2)")
+    tax = F.col("l_tax").cast("decimal(3,2)")
     return {
         "fare_amount": price, "extra": price * discount, "mta_tax": tax, "tip_amount": price * tax,
         "tolls_amount": discount, "ehail_fee": F.lit(0).cast("decimal(4,2)"),
@@ -46,6 +46,8 @@ def trips(spark: SparkSession, sf_dir: str, start: bool = True, pickup: bool = T
     ``start`` is the order (time and payment), ``pickup`` the supplier, ``dropoff`` the customer.
 
     The customer is joined to the orders, a smaller table than the lines, before the lines meet them.
+    Lines and orders both grow with the data, so their join is asked to be a merge join, whose hot keys
+    adaptive execution splits; a broadcast of either would only ever suit small data.
     """
     rows, columns = table(spark, sf_dir, "lineitem"), _line_columns()
     if start or dropoff:
@@ -56,7 +58,7 @@ def trips(spark: SparkSession, sf_dir: str, start: bool = True, pickup: bool = T
             customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
             columns["dolocationid"] = F.col("c_nationkey")
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = rows.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     if pickup:
         supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -80,7 +82,7 @@ def raw_fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(F.col("l_suppkey").cast("string").alias("dispatching_base_num"),
                 F.col("o_orderdate").alias("pickup_datetime"),

@@ -225,7 +225,7 @@ FROM orders""")
 def safe_casts(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", safe_int(F.substring("o_orderpriority", 1, 1)).alias("digit"),
-        safe_int("o_orderpriority").alias("not_a_number"), numeric("o_totalprice").alias("price"),
+        safe_int("o_orderpriority", text=True).alias("not_a_number"), numeric("o_totalprice").alias("price"),
         first_non_null(null_if("o_orderstatus", "P"), F.lit("pending")).alias("status"))
 
 

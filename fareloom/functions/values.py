@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .times import ColumnOrName, _col
 
@@ -17,12 +18,30 @@ PAYMENT_NAMES = {
 }
 
 
-def safe_int(value: ColumnOrName, kind: str = "int", rounded: bool = False) -> Column:
-    """Integer or null, never an error. ``rounded`` is for fractional inputs."""
+# What Spark itself reads as a whole number: blanks and control characters around it are ignored.
+_WHOLE_NUMBER = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+
+
+def safe_int(value: ColumnOrName, kind: str = "int", rounded: bool = False, text: bool = False
+             ) -> Column:
+    """Integer or null, never an error. ``rounded`` is for fractional inputs.
+
+    Say ``text`` for text columns with many values that are no numbers: a failing cast raises and
+    catches an error inside, which costs some fifty times the pattern test that avoids it.
+    """
     value = _col(value)
+    if text:
+        value = F.when(value.rlike(_WHOLE_NUMBER), value)
     return (F.round(value) if rounded else value).try_cast(kind)
 
 
+def safe_ints(df: DataFrame, names: Mapping[str, str]) -> list[Column]:
+    """``safe_int`` of columns of ``df``, under new names, with the pattern test on text columns."""
+    text = {f.name.lower() for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return [safe_int(column, text=column.lower() in text).alias(name)
+            for column, name in names.items()]
+
+
 def numeric(value: ColumnOrName) -> Column:
     return _col(value).cast(NUMERIC)
 
@@ -42,16 +61,14 @@ def pct_change(new: ColumnOrName, old: ColumnOrName, scale: int = 2) -> Column:
 
 
 def map_codes(value: ColumnOrName, names: Mapping, default: str) -> Column:
-    value, result = _col(value), None
-    for code, name in names.items():
-        hit = value == F.lit(code)
-        result = F.when(hit, name) if result is None else result.when(hit, name)
-    return F.lit(default) if result is None else result.otherwise(default)
+    """The name of a code, else ``default``. The code expression is evaluated once."""
+    table = F.create_map(*[F.lit(item) for pair in names.items() for item in pair])
+    return F.coalesce(F.try_element_at(table, _col(value)), F.lit(default))
 
 
-def payment_description(code: ColumnOrName) -> Column:
+def payment_description(code: ColumnOrName, text: bool = False) -> Column:
     """The payment name; unknown codes and null give ``EMPTY``."""
-    return map_codes(safe_int(code), PAYMENT_NAMES, "EMPTY")
+    return map_codes(safe_int(code, text=text), PAYMENT_NAMES, "EMPTY")
 
 
 def bucket(value: ColumnOrName, edges: Sequence[float], labels: Sequence[str],

@@ -43,10 +43,14 @@ def spread_join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "i
     total = tally.agg(F.sum("_rows")).scalar()
     hot = F.broadcast(tally.where(F.col("_rows") * hot_share > total)
                       .select(*on, F.lit(True).alias("_hot")))
+    # Rows without a key match nothing, but they too would meet in one task.
+    spread = F.coalesce(F.col("_hot"), F.lit(False))
+    for key in on:
+        spread = spread | F.col(key).isNull()
     salted_rows = (
         rows.withColumn("_from", F.spark_partition_id())
         .join(hot, on, "left")
-        .withColumn(_SALT, F.when(F.col("_hot"), F.pmod("_from", F.lit(salts))).otherwise(0))
+        .withColumn(_SALT, F.when(spread, F.pmod("_from", F.lit(salts))).otherwise(0))
         .drop("_hot", "_from")
     )
     salted_lookup = (

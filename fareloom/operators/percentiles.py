@@ -12,29 +12,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh_dir
 from .joins import spread_join
 
 _SLOTS_PER_E_FOLD = 512
 
 
 def _slot(value: Column) -> Column:
-    """A number that never falls when the value rises; a slot is about 0.2 % of the value wide."""
+    """A number that never falls when the value rises; a slot is about 0.2 % of the value wide.
+
+    It is never null: a nullable key would put a null filter into one of the two uses of the counts, and
+    Spark would then count twice.
+    """
     size = F.floor(F.log1p(F.abs(value)) * _SLOTS_PER_E_FOLD).cast("double")
-    return F.when(F.isnan(value), F.lit(float("inf"))).otherwise(F.signum(value) * size)
+    return F.when(F.isnan(value), F.lit(float("inf"))).otherwise(
+        F.coalesce(F.signum(value) * size, F.lit(0.0)))
 
 
 def _label(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
 
-def _grouped(df: DataFrame, value: Column, probs: Sequence[float], names: Sequence[str]
-             ) -> DataFrame:
-    """One row per ``g`` with the percentiles of ``value``; ``df`` has the key struct ``g``."""
-    counts = (
-        df.select("g", value.cast("double").alias("v")).where(F.col("v").isNotNull())
+def _counted(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """Non-null values by key struct ``g``, slot and value.
+
+    The keys are one struct because its equality also holds between nulls.
+    """
+    return (
+        df.select(F.struct(*keys).alias("g"), value.cast("double").alias("v"))
         .withColumn("slot", _slot(F.col("v")))
-        .groupBy("g", "slot", "v").agg(F.count("*").alias("c"))
+        .groupBy("g", "slot", "v").agg(F.count("v").alias("c"))
     )
+
+
+def _grouped(counts: DataFrame, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """One row per ``g`` with its percentiles; null where it has no values."""
     by_slot = Window.partitionBy("g").orderBy("slot")
     slots = (
         counts.groupBy("g", "slot").agg(F.sum("c").alias("m"))
@@ -49,7 +61,7 @@ def _grouped(df: DataFrame, value: Column, probs: Sequence[float], names: Sequen
     def ranks(p: float) -> tuple[Column, Column]:
         return F.floor(position(p)), F.ceil(position(p))
 
-    wanted = F.lit(False)
+    wanted = F.col("n") == 0
     for p in probs:
         for rank in ranks(p):
             wanted = wanted | ((rank >= F.col("before"))
@@ -77,11 +89,6 @@ def _grouped(df: DataFrame, value: Column, probs: Sequence[float], names: Sequen
                                 for i, (p, name) in enumerate(zip(probs, names))])
 
 
-def _with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys as one struct: its equality also holds between nulls."""
-    return df.withColumn("g", F.struct(*keys))
-
-
 def percentiles_by(df: DataFrame, keys: Sequence[str], value: str | Column,
                    probs: Sequence[float], names: Sequence[str] | None = None,
                    approx: bool = False, accuracy: int = 10000) -> DataFrame:
@@ -94,16 +101,27 @@ def percentiles_by(df: DataFrame, keys: Sequence[str], value: str | Column,
     names = list(names or [_label(p) for p in probs])
     if approx:
         sketch = F.percentile_approx(value, [float(p) for p in probs], accuracy)
-        found = df.where(value.isNotNull()).groupBy(*keys).agg(sketch.alias("_ps"))
+        found = df.groupBy(*keys).agg(sketch.alias("_ps"))
         return found.select(*keys, *[F.col("_ps")[i].alias(n) for i, n in enumerate(names)])
-    found = _grouped(_with_key(df, keys), value, probs, names)
+    found = _grouped(_counted(df, keys, value), probs, names)
     return found.select(*[F.col("g").getField(k).alias(k) for k in keys], *names)
 
 
 def percentiles_over(df: DataFrame, keys: Sequence[str], value: str | Column,
-                     probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
-    """Every row with the percentiles of its group, as a window over the whole partition would give."""
+                     probs: Sequence[float], names: Sequence[str] | None = None,
+                     broadcast_groups: int = 100_000) -> DataFrame:
+    """Every row with the percentiles of its group, as a window over the whole partition would give.
+
+    The groups are written to the shared folder first. Up to ``broadcast_groups`` of them, some 10 MB,
+    are broadcast, so that the rows stay where they are; more are joined by key, hot keys split.
+    """
     value = F.col(value) if isinstance(value, str) else value
     names = list(names or [_label(p) for p in probs])
-    keyed = _with_key(df, keys)
-    return spread_join(keyed, _grouped(keyed, value, probs, names), ["g"], "left").drop("g")
+    spark = df.sparkSession
+    path = fresh_dir(spark, "percentiles")
+    _grouped(_counted(df, keys, value), probs, names).write.parquet(path)
+    groups = spark.read.parquet(path)
+    keyed = df.withColumn("g", F.struct(*keys))
+    if groups.count() <= broadcast_groups:
+        return keyed.join(F.broadcast(groups), "g", "left").drop("g")
+    return spread_join(keyed, groups, ["g"], "left").drop("g")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import row_hash
 from ..operators.joins import unmatched
 from ..schemas import TRIP_CSV
+from ..session import fresh_dir
 from ..sources.files import scan_months
 
 PART = "pickup_month"
@@ -46,7 +47,13 @@ def stored(spark: SparkSession, table_path: str, schema) -> DataFrame:
 
 def store(spark: SparkSession, table_path: str, staging: DataFrame,
           key: str = "unique_row_id") -> None:
-    """Merge staged rows into the table, made by the first load, with one folder per pickup month."""
+    """Merge staged rows into the table, made by the first load, with one folder per pickup month.
+
+    The rows are landed first: the merge looks at them several times, mostly at their keys alone.
+    """
+    landed = fresh_dir(spark, "staging")
+    staging.write.parquet(landed)
+    staging = spark.read.parquet(landed)
     path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
     if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         staging = rows_to_insert(stored(spark, table_path, staging.schema), staging, key)

@@ -10,8 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (date_parts, numeric, payment_description, replace_text, safe_int,
+from ..functions import (date_parts, map_codes, numeric, replace_text, safe_ints,
                          surrogate_key)
+from ..functions.values import PAYMENT_NAMES
 from ..operators.aggregates import union_all
 from ..operators.filters import cap, where_ne, where_not_null
 from ..operators.joins import role_join
@@ -57,21 +58,23 @@ def stage_trips(trips: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     staged = first.select(
         "service_type",
         surrogate_key("vendorid", "pickup_datetime").alias("tripid"),
-        safe_int("vendorid").alias("vendorid"),
-        safe_int("ratecodeid").alias("ratecodeid"),
-        safe_int("pulocationid").alias("pickup_locationid"),
-        safe_int("dolocationid").alias("dropoff_locationid"),
+        *safe_ints(first, {"vendorid": "vendorid", "ratecodeid": "ratecodeid",
+                           "pulocationid": "pickup_locationid",
+                           "dolocationid": "dropoff_locationid"}),
         F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
         F.col("dropoff_datetime").cast("timestamp_ntz").alias("dropoff_datetime"),
         "store_and_fwd_flag",
-        safe_int("passenger_count").alias("passenger_count"),
+        *safe_ints(first, {"passenger_count": "passenger_count"}),
         numeric("trip_distance").alias("trip_distance"),
-        safe_int("trip_type").alias("trip_type"),
+        *safe_ints(first, {"trip_type": "trip_type"}),
         *[numeric(c).alias(c) for c in MONEY_COLUMNS],
-        F.coalesce(safe_int("payment_type"), F.lit(0)).alias("payment_type"),
-        payment_description("payment_type").alias("payment_type_description"),
+        *safe_ints(first, {"payment_type": "_code"}),
     )
-    return cap(staged, sample_rows)
+    described = staged.select(
+        *[c for c in staged.columns if c != "_code"],
+        F.coalesce("_code", F.lit(0)).alias("payment_type"),
+        map_codes("_code", PAYMENT_NAMES, "EMPTY").alias("payment_type_description"))
+    return cap(described, sample_rows)
 
 
 def stage_service(raw: DataFrame, service: str, sample_rows: int | None = None) -> DataFrame:
@@ -87,10 +90,9 @@ def stage_fhv(raw: DataFrame) -> DataFrame:
     """
     return where_not_null(raw, "dispatching_base_num").select(
         surrogate_key("dispatching_base_num", "pickup_datetime").alias("tripid"),
-        safe_int("dispatching_base_num").alias("dispatchid"),
-        safe_int("affiliated_base_number").alias("affilid"),
-        safe_int("pulocationid").alias("pickup_locationid"),
-        safe_int("dolocationid").alias("dropoff_locationid"),
+        *safe_ints(raw, {"dispatching_base_num": "dispatchid", "affiliated_base_number": "affilid",
+                         "pulocationid": "pickup_locationid",
+                         "dolocationid": "dropoff_locationid"}),
         F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
         F.col("dropoff_datetime").cast("timestamp_ntz").alias("dropoff_datetime"),
         F.col("sr_flag"),

@@ -44,7 +44,9 @@ class _PageReader(DataSourceReader):
                 empty = middle
         return [_Page(number) for number in range(self.base, empty)]
 
-    def read(self, partition: _Page):
+    def read(self, partition: _Page | None):
+        if partition is None:  # what Spark hands over when there are no partitions
+            return
         for record in self.fetch(partition.value):
             yield tuple(record.get(name) for name in self.fields)
 

@@ -1,0 +1,115 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import SF_DIR
+from fareloom import streaming as st
+from fareloom.operators.sessions import session_counts
+from fareloom.session import fresh_dir
+from fareloom.sinks import write_parquet
+from fareloom.sources import stream_files
+
+BASE = dt.datetime(2024, 1, 1)
+
+
+def events(spark, *pairs):
+    return spark.createDataFrame([(k, BASE + dt.timedelta(seconds=s)) for k, s in pairs],
+                                 "k int, t timestamp_ntz")
+
+
+class Feed:
+    """Rounds of files through one checkpoint, each its own run of the query."""
+
+    def __init__(self, spark, build, merge_first=True):
+        self.spark, self.build, self.count = spark, build, 0
+        self.session = st.stream_session(spark, merge_first)
+        self.inbox, self.out = fresh_dir(spark, "inbox"), fresh_dir(spark, "out")
+        self.checkpoint = fresh_dir(spark, "checkpoint")
+
+    def send(self, df):
+        self.count += 1
+        write_parquet(df, f"{self.inbox}/{self.count}")
+        stream = stream_files(self.session, f"{self.inbox}/*", df.schema)
+        return st.replay(st.land(self.build(stream), self.out, self.checkpoint))
+
+    def rows(self):
+        found = self.spark.read.parquet(self.out).collect()
+        return sorted(tuple(v if not isinstance(v, dt.datetime) else int((v - BASE).total_seconds())
+                            for v in r) for r in found)
+
+
+def sessions(stream):
+    return st.session_stream(st.in_event_time(stream, "t"), ["k"], "t")
+
+
+def test_sessions_go_on_over_batches_and_open_ones_wait(spark):
+    feed = Feed(spark, sessions)
+    feed.send(events(spark, (1, 0), (1, 300), (2, 10)))
+    assert feed.rows() == []
+    feed.send(events(spark, (1, 500), (3, 700)))
+    assert feed.rows() == [(2, 10, 310, 1)]
+    feed.send(events(spark, (9, 5000)))
+    assert feed.rows() == [(1, 0, 800, 3), (2, 10, 310, 1), (3, 700, 1000, 1)]
+
+
+def test_rows_behind_the_watermark_are_dropped_and_counted(spark):
+    feed = Feed(spark, sessions, merge_first=False)
+    assert st.late_rows(feed.send(events(spark, (1, 10_000)))) == 0
+    query = feed.send(events(spark, (1, 100), (2, 200), (1, 9_996)))
+    assert st.late_rows(query) == 2
+    feed.send(events(spark, (9, 20_000)))
+    assert feed.rows() == [(1, 9_996, 10_300, 2)]
+
+
+def test_stream_equals_batch_on_ordered_rows(spark):
+    table = spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_type", "user_id", "ts")
+    session = st.stream_session(spark)
+    stream = stream_files(session, f"{SF_DIR}/{{events.parquet}}",
+                          spark.read.parquet(f"{SF_DIR}/events.parquet").schema)
+    out = fresh_dir(spark, "out")
+    built = st.session_stream(st.in_event_time(stream.select("event_type", "ts"), "ts"),
+                              ["event_type"], "ts")
+    st.replay(st.land(built, out, fresh_dir(spark, "checkpoint")))
+    batch = session_counts(table, ["event_type"], "ts")
+    last = table.agg(F.max("ts") - F.expr("INTERVAL 5 SECONDS")).first()[0]
+    closed = batch.where(F.col("session_end") <= F.lit(last).cast("timestamp_ntz"))
+    streamed = spark.read.parquet(out).withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, closed.collect()))
+    assert streamed.count() > 0
+
+
+def test_hours_are_let_out_when_they_are_over(spark):
+    feed = Feed(spark, lambda s: st.tumbling_counts(st.in_event_time(s, "t"), ["k"], "t"))
+    feed.send(events(spark, (1, 0), (1, 3599), (1, 3600), (2, 30)))
+    feed.send(events(spark, (5, 7300)))
+    assert feed.rows() == [(0, 1, 2), (0, 2, 1), (3600, 1, 1)]
+
+
+def test_a_repeated_batch_replaces_itself(spark, rows):
+    path = fresh_dir(spark, "keyed")
+    sink = st.session_sink(path)
+    first, second = spark.range(3), spark.range(10, 12)
+    sink(first, 0), sink(second, 1), sink(first, 0)
+    assert rows(st.read_sessions(spark, path)) == [(0,), (1,), (10,), (11,), (2,)]
+
+
+def test_landing_takes_each_row_once(spark):
+    feed = Feed(spark, lambda s: s)
+    feed.send(events(spark, (1, 0)))
+    feed.send(events(spark, (2, 5)))
+    assert feed.rows() == [(1, 0), (2, 5)]
+
+
+def test_a_live_query_runs_by_interval(spark):
+    inbox = fresh_dir(spark, "inbox")
+    data = events(spark, (1, 0))
+    write_parquet(data, f"{inbox}/1")
+    stream = stream_files(st.stream_session(spark), f"{inbox}/*", data.schema, max_files=1)
+    out = fresh_dir(spark, "out")
+    query = st.watch_progress(st.land(stream, out, fresh_dir(spark, "checkpoint")), "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == 1
