@@ -10,12 +10,12 @@ from ..functions import (boundary_minutes, concat_blank, date_parts, day, displa
                          first_non_null, floor_second, hours_between, month_start, naive_utc,
                          null_if, numeric, parse_ts, payment_description, replace_text, row_hash,
                          safe_int, seconds_between, surrogate_key, thousands, year_quarter)
-from ..operators.aggregates import count_by, top_k, union_tagged
-from ..operators.filters import cap, last_days, project
+from ..operators.aggregates import count_by, union_tagged
+from ..operators.filters import cap, first_rows, last_days, project
 from ..operators.windows import dedup_first
 from ..plans import questions as q
 from ..plans import trips as models
-from .mapping import STAGED_SQL, TRIPS_SQL, ZONES_SQL, raw_zones, table, trips
+from .mapping import TRIPS_SQL, ZONES_SQL, raw_zones, table, trips
 from .registry import query
 
 
@@ -147,7 +147,7 @@ def recent_trips(spark, sf_dir):
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""")
 def row_cap(spark, sf_dir):
     orders = project(table(spark, sf_dir, "orders"), ["o_orderkey", "o_totalprice"])
-    return cap(top_k(orders, "o_totalprice", 100, ["o_orderkey"]), None)
+    return first_rows(cap(orders), 100, [F.desc("o_totalprice"), "o_orderkey"])
 
 
 @query("dedup_first", """

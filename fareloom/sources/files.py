@@ -28,16 +28,30 @@ def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     if (schema is None) == (not infer):
         raise ValueError("give a schema, or ask for inference")
     reader = spark.read.option("header", True)
-    if bad_rows is not None:
-        mode = {"keep": "PERMISSIVE", "fail": "FAILFAST", "drop": "DROPMALFORMED"}[bad_rows]
-        reader = reader.option("mode", mode)
-        if bad_rows == "keep":
-            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-            if schema is not None:
-                schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    if bad_rows is None:
+        return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+        raise ValueError("a bad row is one that does not fit a schema: declare it")
+    if bad_rows == "fail":
+        return _all_parsed(reader.schema(schema).option("mode", "FAILFAST").csv(path), schema)
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    df = _all_parsed(reader.schema(kept).option("columnNameOfCorruptRecord", CORRUPT).csv(path),
+                     schema)
+    if bad_rows == "keep":
+        return df
+    if bad_rows == "drop":
+        return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    raise ValueError(f"unknown way to treat bad rows: {bad_rows!r}")
+
+
+def _all_parsed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The same rows, with every declared column read.
+
+    Spark parses only the columns a query uses and finds a line bad only by those, so a count would see
+    other bad lines than a full scan. A condition on all columns, which always holds, keeps them in use.
+    """
+    least = F.lit(-(2 ** 63))
+    return df.where(F.xxhash64(*schema.fieldNames()) >= least)
 
 
 def scan_months(spark: SparkSession, root: str, kind: str, months: Sequence[str],
@@ -80,11 +94,13 @@ def scan_json_pages(spark: SparkSession, path: str, schema: T.StructType, base_p
             .withColumn("_page", F.regexp_extract(F.col("_metadata.file_path"),
                                                   page_pattern, 1).try_cast("bigint")))
     pages = rows.where(F.col("_page") >= base_page).select("_page").distinct()
-    # The first page that has no records: the base page, or the successor of a page, not present.
-    candidates = pages.select((F.col("_page") + 1).alias("_page")).union(
-        spark.range(1).select(F.lit(base_page).cast("bigint")))
-    end = candidates.join(pages, "_page", "left_anti").agg(F.min("_page")).scalar()
-    return rows.where((F.col("_page") >= base_page) & (F.col("_page") < end)).drop("_page")
+    # The first page without records is the least successor of a page that is no page itself. If the
+    # base page is missing, there is no data at all.
+    first = pages.agg(F.min("_page")).scalar()
+    end = (pages.select((F.col("_page") + 1).alias("_page"))
+           .join(pages, "_page", "left_anti").agg(F.min("_page")).scalar())
+    return rows.where((first == base_page) & (F.col("_page") >= base_page)
+                      & (F.col("_page") < end)).drop("_page")
 
 
 def load_zones(spark: SparkSession, path: str) -> DataFrame:
@@ -92,6 +108,23 @@ def load_zones(spark: SparkSession, path: str) -> DataFrame:
     return scan_csv(spark, path, schemas.ZONES)
 
 
+def scan_database(spark: SparkSession, url: str, query: str, split_on: str | None = None,
+                  low: int | str | None = None, high: int | str | None = None, parts: int = 1,
+                  **options: str) -> DataFrame:
+    """The result of a query in another database, read over JDBC.
+
+    ``split_on`` names a numeric or time column of the result whose range ``low`` to ``high`` is read in
+    ``parts`` tasks; rows outside the range go to the first and last one. Needs the driver of the database
+    on the class path.
+    """
+    reader = spark.read.format("jdbc").option("url", url).options(**options)
+    if split_on is None:
+        return reader.option("query", query).load()
+    return (reader.option("dbtable", f"({query}) q").option("partitionColumn", split_on)
+            .option("lowerBound", low).option("upperBound", high).option("numPartitions", parts)
+            .load())
+
+
 def register(name: str, df: DataFrame) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

@@ -102,3 +102,11 @@ def test_text(spark):
         '<a href="http://github.com/a/b" target="_blank">go</a>')
     assert one(spark, fn.file_name("s"), s="x/y/z.csv.gz") == "z.csv.gz"
     assert one(spark, fn.concat_blank("s", "n"), s="a", n=F.lit(None).cast("string")) == "a"
+
+
+def test_payment_names_in_sql(spark):
+    from fareloom.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    found = spark.sql("SELECT payment_description(2) AS a, payment_description('x') AS b, "
+                      "payment_description(NULL) AS c").first()
+    assert tuple(found) == ("Cash", "EMPTY", "EMPTY")

@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from conftest import SF_DIR
+from conftest import SF_DIR, plan_of
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
+# All pairs, and rows that leave the JVM.
+UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
 
@@ -39,6 +41,8 @@ def test_query_matches_sql(spark, duck, key):
     found = _table(df.columns, df.collect())
     assert found[0] == expected[0]
     assert found[1] == expected[1]
+    plan = plan_of(df)
+    assert not [node for node in UNWANTED if node in plan]
 
 
 def test_every_query_has_sql():

@@ -27,9 +27,10 @@ def test_short_and_wrong_lines_are_kept_with_their_text(spark, tmp_path):
     df = sources.scan_csv(spark, str(tmp_path), schema=_abc(), bad_rows="keep")
     found = sorted((tuple(r) for r in df.collect()), key=repr)
     assert found == [(1, 2, "x", None), (3, None, None, "3"), (None, 5, "y", "n,5,y")]
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="MALFORMED_CSV_RECORD"):
         sources.scan_csv(spark, str(tmp_path), schema=_abc(), bad_rows="fail").collect()
     assert sources.scan_csv(spark, str(tmp_path), schema=_abc(), bad_rows="drop").count() == 1
+    assert df.where("_corrupt_record IS NOT NULL").select("a").count() == 2
     with pytest.raises(ValueError):
         sources.scan_csv(spark, str(tmp_path))
 
