@@ -141,7 +141,7 @@ def monthly_fare_percentiles(spark, sf_dir):
 grouped AS (SELECT service_type, year, month, {_FARES} FROM paid GROUP BY 1, 2, 3)
 SELECT * FROM paid JOIN grouped USING (service_type, year, month)""")
 def fare_percentile_window(spark, sf_dir):
-    rows = marts.fare_percentile_window(fact(spark, sf_dir))
+    rows = marts.fare_percentile_window(fact(spark, sf_dir), land=True)
     return rows.withColumns({n: F.round(n, 4) for n in marts.FARE_PROBS})
 
 

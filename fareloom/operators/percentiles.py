@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from ..session import fresh_dir
 from .joins import spread_join
 
-_SLOTS_PER_E_FOLD = 512
+_SLOTS_PER_E_FOLD = 8192
 
 
 def _slot(value: Column) -> Column:
-    """A number that never falls when the value rises; a slot is about 0.2 % of the value wide.
+    """A number that never falls when the value rises; a slot is about 0.012 % of the value wide.
 
     It is never null: a nullable key would put a null filter into one of the two uses of the counts, and
     Spark would then count twice.
@@ -46,47 +46,34 @@ def _counted(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
 
 
 def _grouped(counts: DataFrame, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """One row per ``g`` with its percentiles; null where it has no values."""
+    """One row per ``g`` with its percentiles; null where it has no values.
+
+    ``n`` is the number of values of a group; ranks count from 0. A value wanted at a broken rank lies
+    between the values at the whole ranks below and above it.
+    """
+    position = [f"{float(p)!r}D * (n - 1)" for p in probs]
+    ranks = [f"{side}({at})" for at in position for side in ("floor", "ceil")]
     by_slot = Window.partitionBy("g").orderBy("slot")
+    by_value = (Window.partitionBy("g", "slot").orderBy("v")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
     slots = (
         counts.groupBy("g", "slot").agg(F.sum("c").alias("m"))
-        .select("g", "slot", "m",
-                (F.sum("m").over(by_slot) - F.col("m")).alias("before"),
+        .select("g", "slot", "m", F.sum("m").over(by_slot).alias("upto"),
                 F.sum("m").over(Window.partitionBy("g")).alias("n"))
+        .where(" OR ".join(["n = 0", *[f"{rank} BETWEEN upto - m AND upto - 1" for rank in ranks]]))
+        .selectExpr("g", "slot", "upto - m AS before", "n")
     )
-
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("n") - 1)
-
-    def ranks(p: float) -> tuple[Column, Column]:
-        return F.floor(position(p)), F.ceil(position(p))
-
-    wanted = F.col("n") == 0
-    for p in probs:
-        for rank in ranks(p):
-            wanted = wanted | ((rank >= F.col("before"))
-                               & (rank < F.col("before") + F.col("m")))
-    by_value = (Window.partitionBy("g", "slot").orderBy("v")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = (
-        counts.join(slots.where(wanted), ["g", "slot"])
-        .withColumn("last", F.col("before") + F.sum("c").over(by_value) - 1)
-        .withColumn("first", F.col("last") - F.col("c") + 1)
+        counts.join(slots, ["g", "slot"])
+        .select("g", "v", "n", "c", (F.col("before") + F.sum("c").over(by_value)).alias("upto"))
     )
-
-    picks = [F.max("n").alias("n")]
-    for i, p in enumerate(probs):
-        for end, rank in zip(("lo", "hi"), ranks(p)):
-            hit = rank.between(F.col("first"), F.col("last"))
-            picks.append(F.max(F.when(hit, F.col("v"))).alias(f"{end}{i}"))
-    picked = ranked.groupBy("g").agg(*picks)
-
-    def interpolated(i: int, p: float) -> Column:
-        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-        return low + (high - low) * (position(p) - F.floor(position(p)))
-
-    return picked.select("g", *[interpolated(i, p).alias(name)
-                                for i, (p, name) in enumerate(zip(probs, names))])
+    picks = [f"max(CASE WHEN {rank} BETWEEN upto - c AND upto - 1 THEN v END) AS r{i}"
+             for i, rank in enumerate(ranks)]
+    picked = ranked.groupBy("g").agg(F.max("n").alias("n"), *[F.expr(pick) for pick in picks])
+    return picked.selectExpr("g", *[
+        f"r{2 * i} + (r{2 * i + 1} - r{2 * i}) * ({at} - floor({at})) AS `{name}`"
+        for i, (at, name) in enumerate(zip(position, names))])
 
 
 def percentiles_by(df: DataFrame, keys: Sequence[str], value: str | Column,
@@ -109,15 +96,20 @@ def percentiles_by(df: DataFrame, keys: Sequence[str], value: str | Column,
 
 def percentiles_over(df: DataFrame, keys: Sequence[str], value: str | Column,
                      probs: Sequence[float], names: Sequence[str] | None = None,
-                     broadcast_groups: int = 100_000) -> DataFrame:
+                     broadcast_groups: int = 100_000, land: bool = False) -> DataFrame:
     """Every row with the percentiles of its group, as a window over the whole partition would give.
 
-    The groups are written to the shared folder first. Up to ``broadcast_groups`` of them, some 10 MB,
+    The rows are looked at twice: ``land`` writes them to the shared folder first, which pays when they
+    come out of joins rather than from a file. The groups are written to the shared folder first. Up to ``broadcast_groups`` of them, some 10 MB,
     are broadcast, so that the rows stay where they are; more are joined by key, hot keys split.
     """
     value = F.col(value) if isinstance(value, str) else value
     names = list(names or [_label(p) for p in probs])
     spark = df.sparkSession
+    if land:
+        landed = fresh_dir(spark, "rows")
+        df.write.parquet(landed)
+        df = spark.read.parquet(landed)
     path = fresh_dir(spark, "percentiles")
     _grouped(_counted(df, keys, value), probs, names).write.parquet(path)
     groups = spark.read.parquet(path)

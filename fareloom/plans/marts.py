@@ -72,10 +72,10 @@ def monthly_fare_percentiles(fact: DataFrame, approx: bool = False) -> DataFrame
                           list(FARE_PROBS.values()), list(FARE_PROBS), approx)
 
 
-def fare_percentile_window(fact: DataFrame) -> DataFrame:
-    """One row per paid trip with the percentiles of its month."""
+def fare_percentile_window(fact: DataFrame, land: bool = False) -> DataFrame:
+    """One row per paid trip with the percentiles of its month; ``land`` if the fact is not stored."""
     return percentiles_over(paid_fares(fact), FARE_KEYS, "fare_amount",
-                            list(FARE_PROBS.values()), list(FARE_PROBS))
+                            list(FARE_PROBS.values()), list(FARE_PROBS), land=land)
 
 
 @model("table")

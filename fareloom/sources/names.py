@@ -16,7 +16,7 @@ class Sources:
 
     def __init__(self, spark: SparkSession, schema: str | None = None,
                  paths: Mapping[str, str] | None = None, variable: str = "FARELOOM_SCHEMA",
-                 default: str = "trips_data_all",
+                 default: str = "trips",
                  core_variable: str = "FARELOOM_TARGET_SCHEMA",
                  staging_variable: str = "FARELOOM_STAGING_SCHEMA"):
         self.spark = spark

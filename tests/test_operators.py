@@ -187,11 +187,12 @@ def test_percentiles_equal_built_in(spark, data):
         assert found[(r.k,)] == pytest.approx(r.p, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_percentile_window_equals_grouped(spark, limit):
+@pytest.mark.parametrize("limit,land", [(100, False), (0, True)])
+def test_percentile_window_equals_grouped(spark, limit, land):
     df = spark.range(500).select((F.col("id") % 3).alias("k"), F.sqrt("id").alias("v"))
     df = df.union(spark.createDataFrame([(None, 4.0)], "k long, v double"))
-    over = percentiles.percentiles_over(df, ["k"], "v", [0.9], ["p90"], broadcast_groups=limit)
+    over = percentiles.percentiles_over(df, ["k"], "v", [0.9], ["p90"], broadcast_groups=limit,
+                                        land=land)
     grouped = {r.k: r.p90 for r in percentiles.percentiles_by(df, ["k"], "v", [0.9], ["p90"]).collect()}
     out = over.collect()
     assert len(out) == 501 and all(r.p90 == grouped[r.k] for r in out)

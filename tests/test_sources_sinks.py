@@ -193,7 +193,7 @@ def test_messages(spark):
 # ---- names
 
 def test_names_come_from_argument_environment_or_default(spark, monkeypatch, tmp_path):
-    assert sources.Sources(spark).full_name("t") == "trips_data_all.t"
+    assert sources.Sources(spark).full_name("t") == "trips.t"
     monkeypatch.setenv("FARELOOM_SCHEMA", "raw")
     assert sources.Sources(spark).full_name("t") == "raw.t"
     assert sources.Sources(spark, "mine").full_name("t") == "mine.t"
