@@ -1,0 +1,9 @@
+import pytest
+
+
+@pytest.fixture()
+def frame(spark):
+    """A frame of documents from (doc_id, text) pairs."""
+    def build(rows, schema="doc_id long, text string"):
+        return spark.createDataFrame(rows, schema)
+    return build
