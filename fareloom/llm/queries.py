@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.mapping import table
-from . import neardup
+from . import bpe, neardup
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op4_bpe_encode_decode")
+def op4(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    out = bpe.encode(table(spark, sf_dir, "documents"), path, decoded=True)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark, sf_dir):
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
