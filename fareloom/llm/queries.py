@@ -6,12 +6,22 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.mapping import table
-from . import bpe, neardup
+from . import bpe, neardup, quality, sharding, urls
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_hypergeometric_sharding")
+def op1(spark, sf_dir):
+    """Law ``rows``: counts at most one apart. Nothing is kept together, copies of a text least of all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sharding.shuffle_into_shards(docs, 8, seed=20)
+    return out.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+                      F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"), F.lit("rows").alias("law"),
+                      "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op4_bpe_encode_decode")
 def op4(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -24,3 +34,34 @@ def op4(spark, sf_dir):
 def op5(spark, sf_dir):
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op7_quality_classifier")
+def op7(spark, sf_dir):
+    out = quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query("op9_url_filter", f"""
+    WITH parts AS (
+        SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+        FROM pages),
+    hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM parts),
+    urls AS (
+        SELECT page_id, translate(raw, '{urls._UPPER}', '{urls._LOWER}') AS host,
+               regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+        FROM hosts),
+    rules(rule, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+    split AS (SELECT rule, verdict, substr(rule, 1, instr(rule, '/') - 1) AS h, substr(rule, instr(rule, '/')) AS p
+              FROM rules)
+    SELECT u.page_id, u.host, u.path, arg_max(s.rule, length(s.rule)) AS rule,
+           coalesce(arg_max(s.verdict, length(s.rule)), 'allow') AS verdict
+    FROM urls u LEFT JOIN split s
+      ON (u.host = s.h OR ends_with(u.host, '.' || s.h)) AND starts_with(u.path, s.p)
+    GROUP BY u.page_id, u.host, u.path""")
+def op9(spark, sf_dir):
+    out = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")

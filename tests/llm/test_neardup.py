@@ -8,6 +8,12 @@ from fareloom.llm import neardup
 from fareloom.llm.fingerprints import simhash
 
 
+@pytest.fixture()
+def frame(spark):
+    """A frame of documents from (doc_id, text) pairs."""
+    return lambda rows, schema="doc_id long, text string": spark.createDataFrame(rows, schema)
+
+
 def plain_simhash(text, k):
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
     for blank in "\t\n\x0b\x0c\r":
