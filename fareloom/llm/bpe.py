@@ -30,7 +30,7 @@ from .common import text_slices
 #: A tokenizer file is broadcast; larger ones are refused.
 MAX_FILE_BYTES = 64 << 20
 #: So many encoded words are remembered by a task before it starts afresh.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 #: Longer words (in bytes) are merged one by one with a queue, in n log n steps.
 LONG_WORD = 256
 _NONE = np.int64(1 << 40)
@@ -340,8 +340,8 @@ def encode_column(text: Column, tokenizer: Broadcast) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, known = _model(tokenizer), {}
         for texts in batches:
-            yield pa.array([ids for rows in text_slices(texts)
-                            for ids in model.encode([t or b"" for t in rows], known)], pa.binary())
+            for rows in text_slices(texts):
+                yield pa.array(model.encode([t or b"" for t in rows], known), pa.binary())
     return encode(text)
 
 
@@ -350,11 +350,25 @@ def decode_column(ids: Column, tokenizer: Broadcast) -> Column:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _model(tokenizer)
-        for rows in batches:
-            yield pa.array([model.decode(i or b"") for part in text_slices(rows) for i in part], pa.string())
+        for batch in batches:
+            for rows in text_slices(batch):
+                yield pa.array([model.decode(i or b"") for i in rows], pa.string())
     return decode(ids)
 
 
+def round_trip_column(text: Column, tokenizer: Broadcast) -> Column:
+    """Ids and the text they decode to, by one Python worker instead of two."""
+    @F.arrow_udf("struct<ids: binary, decoded: string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model, known = _model(tokenizer), {}
+        for texts in batches:
+            for rows in text_slices(texts):
+                ids = model.encode([t or b"" for t in rows], known)
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()),
+                                                  pa.array(map(model.decode, ids), pa.string())], ["ids", "decoded"])
+    return both(text)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``ids`` (binary), ``n_tokens``; with ``decoded`` also ``decoded``.
 
@@ -363,7 +377,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     length are encoded whole. Repeated rows, null ids, empty tables and further columns need no care: each
     row is encoded by itself and only id and text are read.
     """
-    tokenizer = load(docs.sparkSession, path)
-    out = docs.select(F.col(id_col).alias("doc_id"), encode_column(F.col(text_col), tokenizer).alias("ids"))
-    out = out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-    return out.withColumn("decoded", decode_column(F.col("ids"), tokenizer)) if decoded else out
+    tokenizer, text = load(docs.sparkSession, path), F.col(text_col)
+    if decoded:
+        out = docs.select(F.col(id_col).alias("doc_id"), round_trip_column(text, tokenizer).alias("trip"))
+        out = out.select("doc_id", "trip.ids", "trip.decoded")
+    else:
+        out = docs.select(F.col(id_col).alias("doc_id"), encode_column(text, tokenizer).alias("ids"))
+    return out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import fresh_dir
 
 #: Work on texts goes through slices of about this many bytes of an Arrow batch, whatever its rows weigh.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def land(df: DataFrame, label: str) -> tuple[DataFrame, str]:

@@ -14,6 +14,12 @@ ODD = ["", " ", "\x00\x1c\x1f\x85\xa0 　x", "Hello  World's 123 <|endoftext|>
        "!" * 3000, "ab" * 4000, "zq" * 129, "각", "ą́ Å Ω"]
 
 
+@pytest.fixture()
+def frame(spark):
+    """A frame of documents from (doc_id, text) pairs."""
+    return lambda rows, schema="doc_id long, text string": spark.createDataFrame(rows, schema)
+
+
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(PATH)
