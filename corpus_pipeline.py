@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import neardup
+from fareloom.llm import bpe, decontam, lines, neardup, quality
 from fareloom.llm.common import land
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (predicted 0) go. It learns from the labelled ones among
+    ``docs`` in its training fold; a text of no words gets the score of the constant."""
+    scored = quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select(*docs.columns)
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of lines that repeat earlier ones are cut out; ``n_chars`` follows the text. All rows stay."""
+    cut = lines.dedup_lines(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id.
 
     A row without an id cannot be named by a group and stays; rows that share an id go together.
@@ -23,7 +37,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash_near_dedup", near_dedup)]
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item is found go."""
+    return decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of each document, and the digest of the text they decode to."""
+    out = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), decoded=True, keep=("lang", "source", "n_chars"))
+    return out.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids",
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_quality),
+    ("line_dedup", cut_repeated_lines),
+    ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_contaminated),
+    ("bpe_encode_decode", tokenize),
+]
 
 #: The stages train, hash and align; SQL cannot express them. tests/llm compares them with brute force.
 ORACLE_SQL = None

@@ -369,8 +369,10 @@ def round_trip_column(text: Column, tokenizer: Broadcast) -> Column:
     return both(text)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``ids`` (binary), ``n_tokens``; with ``decoded`` also ``decoded``.
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False,
+           keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, the columns ``keep``, ``ids`` (binary), ``n_tokens``; with
+    ``decoded`` also ``decoded``.
 
     Ids are those of the tokenizer file at ``path``, without added special tokens; the strings of special
     tokens inside a text give their ids. Null and empty texts give no ids and the empty text. Texts of any
@@ -379,8 +381,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     tokenizer, text = load(docs.sparkSession, path), F.col(text_col)
     if decoded:
-        out = docs.select(F.col(id_col).alias("doc_id"), round_trip_column(text, tokenizer).alias("trip"))
-        out = out.select("doc_id", "trip.ids", "trip.decoded")
+        out = docs.select(F.col(id_col).alias("doc_id"), *keep, round_trip_column(text, tokenizer).alias("trip"))
+        out = out.select("doc_id", *keep, "trip.ids", "trip.decoded")
     else:
-        out = docs.select(F.col(id_col).alias("doc_id"), encode_column(text, tokenizer).alias("ids"))
+        out = docs.select(F.col(id_col).alias("doc_id"), *keep, encode_column(text, tokenizer).alias("ids"))
     return out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

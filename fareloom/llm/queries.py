@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.mapping import table
-from . import bpe, neardup, quality, sharding, urls
+from . import bpe, decontam, lines, neardup, quality, sharding, topk, urls
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,6 +22,13 @@ def op1(spark, sf_dir):
                       "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op3_benchmark_decontamination")
+def op3(spark, sf_dir):
+    """The default similarity of 0.8: at most a fifth of an item's words are edited."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_bpe_encode_decode")
 def op4(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -36,12 +43,36 @@ def op5(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op6_exact_top_k", """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        WHERE q.vec_id % 100 = 0),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def op6(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 @query("op7_quality_classifier")
 def op7(spark, sf_dir):
     out = quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op8_line_dedup")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "text", "removed_lines", "removed_words")
+
+
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 

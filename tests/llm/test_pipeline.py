@@ -1,0 +1,66 @@
+import random
+
+import corpus_pipeline
+from fareloom.llm import decontam, lines
+from test_neardup import classes, plain_simhash
+
+NAMES = ["quality_classifier", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "bpe_encode_decode"]
+
+
+def sentence(rng, words, n):
+    return " ".join(rng.choices(words, k=n)).capitalize() + "."
+
+
+def test_each_stage_does_its_work_on_planted_cases(spark, tmp_path):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("aeinorstlm", k=rng.randint(2, 9))) for _ in range(3000)]
+    items = [" ".join(rng.choices(words, k=30)) for _ in range(5)]
+    passage = " ".join(sentence(rng, words, 10) for _ in range(6))
+    rows, kinds = [], {}
+    for i in range(160):
+        text = "\n".join(sentence(rng, words, rng.randint(8, 30)) for _ in range(rng.randint(8, 15)))
+        kind = ["clean", "clean", "clean", "junk", "near", "leak", "passage", "clean"][i % 8]
+        if kind == "junk":
+            text = text.upper().replace(" ", "!! ")
+        if kind == "near":
+            text = rows[-4][1].replace(rows[-4][1].split()[3], "changed", 1)
+        if kind == "leak":
+            text += "\n" + items[i % 5]
+        if kind == "passage":
+            text += " " + passage
+        kinds[i] = kind
+        rows.append((i, text, "en", "s", len(text)))
+    rows += [(1000, None, None, None, None), (None, "an odd row without an id", "en", None, 3)]
+    d = str(tmp_path / "t")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(i, int(k != "junk"), 0) for i, k in kinds.items()],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
+    at, seen = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, at, d)
+        if name != NAMES[-1]:
+            assert out.schema.names == docs.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        out.write.parquet(f"{d}/{name}")
+        at = spark.read.parquet(f"{d}/{name}")
+        seen[name] = {r.doc_id: r for r in at.collect()}
+    kept = seen[NAMES[0]]
+    assert {i for i, k in kinds.items() if k == "junk"}.isdisjoint(kept)
+    assert {i for i, k in kinds.items() if k != "junk"} <= set(kept)
+    cut = seen[NAMES[1]]
+    assert set(cut) == set(kept)
+    assert sum(passage in (r.text or "") for r in cut.values()) == 1
+    assert all(r.n_chars == len(r.text) for r in cut.values() if r.text is not None)
+    assert all(cut[i].text == rows[i][1] for i, k in kinds.items() if k == "clean")
+    ids = sorted(i for i in cut if i is not None)
+    root = classes([plain_simhash(cut[i].text or "", 4) for i in ids], 4)
+    assert set(seen[NAMES[2]]) == {ids[c] for c in set(root)} | {None}
+    leaky = {i for i, r in seen[NAMES[2]].items() if any(
+        " ".join(x.decode() for x in decontam.words_of(t.encode())) in
+        " ".join(x.decode() for x in decontam.words_of((r.text or "").encode())) for t in items)}
+    assert leaky and set(seen[NAMES[3]]) == set(seen[NAMES[2]]) - leaky
+    assert set(seen[NAMES[4]]) == set(seen[NAMES[3]]) and lines.MIN_WORDS < 50
+    whole = corpus_pipeline.run(spark, d).collect()
+    assert sorted(map(repr, whole)) == sorted(map(repr, seen[NAMES[4]].values()))
