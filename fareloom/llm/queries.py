@@ -103,11 +103,9 @@ def op9(spark, sf_dir):
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
-#: The labels of the findings in the test tables, which have none of their own: values assigned to a name of a secret.
-REVIEWED = F.col("before").rlike(r"\b(token|secret|password|api_?key) ?[=:]$") & (F.length("finding") >= 20)
-
-
 @query("op10_secret_scan")
 def op10(spark, sf_dir):
+    """The test tables have no labelled findings: values assigned to the name of a secret stand for them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return secrets.find_secrets(docs, REVIEWED, path_col="source")
+    reviewed = F.col("before").rlike(r"\b(token|secret|password|api_?key) ?[=:]$") & (F.length("finding") >= 20)
+    return secrets.find_secrets(docs, reviewed, path_col="source")
