@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..operators.filters import flatten
 from ..operators.sessions import longest_streaks, session_counts
 from ..plans import activity as act
+from ..schemas import WATCH_COUNTS
 from ..session import fresh_dir
-from ..sinks.files import land_version, read_latest
+from ..sinks import KeyedTable
 from .mapping import EVENTS_SQL, nested_events, table
 from .registry import query
 
@@ -81,22 +82,51 @@ def watch_counts(spark, sf_dir):
     return act.watch_counts(nested_events(spark, sf_dir), "view")
 
 
+_MOMENT = "2024-01-30 12:00:00"
+
+
+def _watch_table(spark, sf_dir):
+    """Counts up to a moment in a keyed table, and the counts of the events after it."""
+    events = nested_events(spark, sf_dir)
+    moment = F.lit(_MOMENT).cast("timestamp_ntz")
+    stored = KeyedTable(fresh_dir(spark, "watch_counts"), WATCH_COUNTS, ["name"], 16)
+    stored.merge(act.watch_counts(events.where(F.col("created_at") < moment), "view"), ["watch_count"])
+    return stored, act.watch_counts(events.where(F.col("created_at") >= moment), "view")
+
+
 @query("merge_upsert", f"""{_WATCH},
 stored AS (SELECT repo_name AS name, COUNT(*) AS n FROM watched
-           WHERE ts < TIMESTAMP '2024-01-30 12:00:00' GROUP BY 1),
+           WHERE ts < TIMESTAMP '{_MOMENT}' GROUP BY 1),
 fresh AS (SELECT repo_name AS name, COUNT(*) AS n FROM watched
-          WHERE ts >= TIMESTAMP '2024-01-30 12:00:00' GROUP BY 1)
+          WHERE ts >= TIMESTAMP '{_MOMENT}' GROUP BY 1)
 SELECT COALESCE(f.name, s.name) AS name, COALESCE(f.n, s.n) AS watch_count
 FROM stored s FULL JOIN fresh f ON s.name = f.name""")
 def merge_upsert(spark, sf_dir):
-    """The counts up to a moment are stored; those after it are merged in as a new version."""
-    events = nested_events(spark, sf_dir)
-    moment = F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
-    root = fresh_dir(spark, "watch_counts")
-    land_version(act.watch_counts(events.where(F.col("created_at") < moment), "view"), root)
-    fresh = act.watch_counts(events.where(F.col("created_at") >= moment), "view")
-    land_version(act.merge_watch_counts(read_latest(spark, root), fresh), root)
-    return read_latest(spark, root)
+    """The counts after the moment replace the stored ones; only the buckets they touch are rewritten."""
+    stored, fresh = _watch_table(spark, sf_dir)
+    stored.merge(fresh, ["watch_count"])
+    return stored.read(spark)
+
+
+@query("merge_upsert_add", f"{_WATCH} SELECT repo_name AS name, COUNT(*) AS watch_count FROM watched GROUP BY 1")
+def merge_upsert_add(spark, sf_dir):
+    """The counts after the moment are added to the stored ones; the batch is delivered twice and added once."""
+    stored, fresh = _watch_table(spark, sf_dir)
+    for _ in range(2):
+        stored.merge(fresh, ["watch_count"], "add", run="hourly", batch=1)
+    return stored.read(spark)
+
+
+@query("append_new_events", f"""
+WITH {EVENTS_SQL} SELECT * EXCLUDE (ts) FROM activity""")
+def append_new_events(spark, sf_dir):
+    """The first half is stored; then everything is offered twice, and only what is new is appended."""
+    cleaned, path = act.clean_events(nested_events(spark, sf_dir)), fresh_dir(spark, "cleaned")
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    cleaned.where(F.col("created_at") < half).write.parquet(path)
+    for _ in range(2):
+        act.new_events(spark.read.parquet(path), cleaned).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 _URL = "'http://github.com/' || repo_name"

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import activity as act
-from ..plans import rides
-from ..schemas import FHV_CSV, RIDES_JSON, YELLOW_CSV
+from ..plans import ingest, rides
+from ..plans import trips as models
+from ..schemas import FHV_CSV, GREEN_CSV, RIDES_JSON, YELLOW_CSV
 from ..session import fresh_dir, fresh_name
 from ..sinks import json_payload, write_csv, write_parquet
-from ..sources import (canonical, describe, external_table, register, scan_csv, scan_events_json,
-                       scan_json_pages, scan_months, snake_case)
+from ..sources import (canonical, describe, external_table, list_tables, preview, register, scan_csv,
+                       scan_events_json, scan_json_pages, scan_months, snake_case)
 from ..sources.files import CORRUPT
-from .mapping import EVENTS_SQL, nested_events, raw_fhv, table, trips
+from .mapping import EVENTS_SQL, TRIPS_SQL, nested_events, raw_fhv, table, trips
 from .registry import query
 
 
@@ -68,7 +69,8 @@ def monthly_files(spark, sf_dir):
                     F.lit(".csv.gz"))
     (yellow_rows(spark, sf_dir).withColumn("file", name).hint("rebalance", "file").write
      .partitionBy("file").option("header", True).option("compression", "gzip").csv(root))
-    rows = scan_months(spark, root, "yellow", MONTHS, template="file={kind}_tripdata_{month}.csv.gz")
+    # The list covers all years of the tables; a small one has no trip in some month.
+    rows = scan_months(spark, root, "yellow", MONTHS, template="file={kind}_tripdata_{month}.csv.gz", gaps=True)
     return rows.groupBy(F.regexp_replace("filename", "^file=", "").alias("filename")).agg(
         F.count("*").alias("trips"),
         F.sum(F.col("fare_amount").cast("decimal(18,2)")).alias("fares"))
@@ -265,3 +267,71 @@ def json_messages(spark, sf_dir):
         "value", F.col("m.PULocationID").alias("pulocationid"),
         F.col("m.passenger_count").alias("passengers"),
         F.col("m.lpep_pickup_datetime").alias("pickup"))
+
+
+def _write_months(rows, kind, pickup, root):
+    """Monthly files of one kind as they are published: gzip CSV, one name per month of the pickup."""
+    name = F.concat(F.lit(f"{kind}_tripdata_"), F.date_format(pickup, "yyyy-MM"), F.lit(".csv.gz"))
+    (rows.withColumn("file", name).hint("rebalance", "file").write.partitionBy("file")
+     .option("header", True).option("compression", "gzip").csv(root))
+
+
+_MONTHLY = "file={kind}_tripdata_{month}.csv.gz"
+
+
+@query("ingest_fhv", """
+SELECT CAST(l_suppkey AS VARCHAR) AS dispatching_base_num, o_orderdate AS pickup_datetime,
+       l_shipdate AS dropoff_datetime, s_nationkey AS pulocationid, c_nationkey AS dolocationid,
+       l_linenumber AS sr_flag, s_name AS affiliated_base_number,
+       strftime(o_orderdate, '%Y-%m') AS pickup_month
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN supplier ON l_suppkey = s_suppkey""")
+def ingest_fhv(spark, sf_dir):
+    """For-hire files of all months, loaded twice: each file is appended once."""
+    root, path = fresh_dir(spark, "fhv_files"), fresh_dir(spark, "fhv")
+    columns = [f.name for f in FHV_CSV.fields]
+    rows = raw_fhv(spark, sf_dir)
+    _write_months(rows.select(*[F.col(c.lower()).alias(c) for c in columns]), "fhv", "pickup_datetime", root)
+    for _ in range(2):
+        ingest.ingest_months(spark, root, "fhv", MONTHS, path, _MONTHLY, gaps=True)
+    schema = T.StructType([*FHV_CSV.fields, T.StructField("filename", T.StringType()),
+                           T.StructField(ingest.PART, T.StringType())])
+    return ingest.stored(spark, path, schema).drop("filename").toDF(*[c.lower() for c in columns], ingest.PART)
+
+
+@query("ingest_yellow_green", f"""
+WITH {TRIPS_SQL}
+SELECT service_type, CAST(EXTRACT(year FROM pickup_datetime) AS INTEGER) AS year, COUNT(*) AS trips,
+       COUNT(DISTINCT vendorid) AS vendors, CAST(SUM(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) AS fares,
+       SUM(CASE WHEN service_type = 'Yellow' THEN 1 ELSE trip_type END)::BIGINT AS trip_types
+FROM trips GROUP BY 1, 2""")
+def ingest_yellow_green(spark, sf_dir):
+    """Monthly files of both services through the merge and into the shape that staging reads."""
+    rows, out = trips(spark, sf_dir), {}
+    for service, fields in (("yellow", YELLOW_CSV), ("green", GREEN_CSV)):
+        prefix = {"yellow": "tpep", "green": "lpep"}[service]
+        names = {"VendorID": "vendorid", f"{prefix}_pickup_datetime": "pickup_datetime",
+                 f"{prefix}_dropoff_datetime": "dropoff_datetime", "RatecodeID": "ratecodeid",
+                 "PULocationID": "pulocationid", "DOLocationID": "dolocationid", "congestion_surcharge": "ehail_fee"}
+        own = rows.where(F.lower("service_type") == service).select(
+            *[F.col(names.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in fields.fields])
+        root, path = fresh_dir(spark, f"{service}_files"), fresh_dir(spark, service)
+        _write_months(own, service, f"{prefix}_pickup_datetime", root)
+        for _ in range(2):
+            ingest.ingest_months(spark, root, service, MONTHS, path, _MONTHLY, gaps=True)
+        out[service] = spark.read.parquet(path)
+    both = models.all_trips(out["green"], out["yellow"])
+    return both.groupBy("service_type", F.year("pickup_datetime").alias("year")).agg(
+        F.count("*").alias("trips"), F.count_distinct("vendorid").alias("vendors"),
+        F.sum(F.col("fare_amount").cast("decimal(18,2)")).alias("fares"), F.sum("trip_type").alias("trip_types"))
+
+
+@query("list_and_preview", """
+SELECT 'orders' AS "table", o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5""")
+def list_and_preview(spark, sf_dir):
+    """A registered view is found by name, and its first rows are shown."""
+    view = fresh_name("orders")
+    register(view, table(spark, sf_dir, "orders"))
+    name = list_tables(spark, f"{view}*").where("isTemporary").select("table").scalar()
+    return preview(spark.table(view).select("o_orderkey", "o_totalprice"), 5, ["o_orderkey"]).withColumn(
+        "table", F.when(name == view, "orders"))

@@ -53,11 +53,16 @@ def trips(spark: SparkSession, sf_dir: str, start: bool = True, pickup: bool = T
     """Order lines as trips. Parts that a question does not need are left out with their join:
     ``start`` is the order (time and payment), ``pickup`` the supplier, ``dropoff`` the customer.
 
-    The customer is joined to the orders, a smaller table than the lines, before the lines meet them.
+    The customer is joined to the orders and the supplier to the lines before lines and orders meet, so that a
+    condition on either location thins them out first.
     Lines and orders both grow with the data, so their join is asked to be a merge join, whose hot keys
     adaptive execution splits; a broadcast of either would only ever suit small data.
     """
     rows, columns = table(spark, sf_dir, "lineitem"), _line_columns()
+    if pickup:
+        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        columns["pulocationid"] = F.col("s_nationkey")
     if start or dropoff:
         orders = table(spark, sf_dir, "orders")
         columns["pickup_datetime"] = F.col("o_orderdate")
@@ -67,10 +72,6 @@ def trips(spark: SparkSession, sf_dir: str, start: bool = True, pickup: bool = T
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
             columns["dolocationid"] = F.col("c_nationkey")
         rows = rows.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if pickup:
-        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        columns["pulocationid"] = F.col("s_nationkey")
     return rows.select(*[columns[c].alias(c) for c in TRIP_COLUMNS if c in columns])
 
 

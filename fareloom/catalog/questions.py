@@ -10,7 +10,7 @@ from ..functions import (boundary_minutes, concat_blank, date_parts, day, displa
                          first_non_null, floor_second, hours_between, month_start, naive_utc,
                          null_if, numeric, parse_ts, payment_description, replace_text, row_hash,
                          safe_int, seconds_between, surrogate_key, thousands, year_quarter)
-from ..operators.aggregates import count_by, union_tagged
+from ..operators.aggregates import count_by, row_count, union_tagged
 from ..operators.filters import cap, first_rows, last_days, project
 from ..operators.windows import dedup_first
 from ..plans import questions as q
@@ -144,10 +144,20 @@ def recent_trips(spark, sf_dir):
 
 
 @query("row_cap", """
-SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""")
+SELECT LEAST(COUNT(*), 100) AS capped, LEAST(COUNT(*), 7) AS fewer, COUNT(*) AS uncapped FROM orders""")
 def row_cap(spark, sf_dir):
-    orders = project(table(spark, sf_dir, "orders"), ["o_orderkey", "o_totalprice"])
-    return first_rows(cap(orders), 100, [F.desc("o_totalprice"), "o_orderkey"])
+    """Which rows a cap keeps is open, how many is not."""
+    orders = project(table(spark, sf_dir, "orders"), ["o_orderkey"])
+    counts = [row_count(cap(orders, n), name) for n, name in ((100, "capped"), (7, "fewer"), (None, "uncapped"))]
+    return spark.range(1).select(
+        *[counted.scalar().alias(counted.columns[0]) for counted in counts])
+
+
+@query("first_rows", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""")
+def first_hundred(spark, sf_dir):
+    return first_rows(project(table(spark, sf_dir, "orders"), ["o_orderkey", "o_totalprice"]), 100,
+                      [F.desc("o_totalprice"), "o_orderkey"])
 
 
 @query("dedup_first", """

@@ -1,23 +1,25 @@
 """Streaming jobs on the events table, replayed as files. Each run has its own checkpoint.
 
-A session or hour is emitted once the watermark (newest event minus 5 seconds) has passed its end, so the
-open ones at the end of the data stay in the state; the SQL leaves them out in the same way.
+A session or hour is emitted once the watermark (newest event minus 5 seconds) has passed its end. The table is
+finished data, so its replay is ended by a closing row that lets out what is still open.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import streaming as st
 from ..session import fresh_dir
+from ..sinks import KeyedTable
 from ..sinks.files import write_parquet
 from ..sources.topics import stream_files
 from .activity import SESSION_KEYS, SESSIONS_SQL, keyed_events
 from .mapping import table
 from .registry import query
 
-_CLOSED = "(SELECT MAX(ts) - INTERVAL 5 SECOND FROM events)"
-
 
 def _stream(spark, sf_dir, session):
     # The braces make the path a pattern, which may name one file as well as a folder.
@@ -25,42 +27,61 @@ def _stream(spark, sf_dir, session):
                         table(spark, sf_dir, "events").schema)
 
 
-def _sessions(spark, sf_dir):
+def _replay_all(spark, sf_dir, start):
+    """Replay the table through ``start``, which makes a writer of a stream in event time, to its end."""
+    events, end = table(spark, sf_dir, "events"), fresh_dir(spark, "end")
     session = st.stream_session(spark)
-    events = st.in_event_time(keyed_events(_stream(spark, sf_dir, session)), "ts")
-    return st.session_stream(events, SESSION_KEYS, "ts")
 
+    def run():
+        stream = st.with_end(_stream(spark, sf_dir, session), session, end)
+        st.replay(start(st.in_event_time(stream, "ts")))
+    run()
+    last = events.agg(F.max("ts")).first()[0]
+    if last is not None:
+        st.end_replay(spark, end, events.schema, "ts", last + dt.timedelta(days=1))
+        run()
+
+
+def _sessions(events):
+    return st.session_stream(keyed_events(events), SESSION_KEYS, "ts")
 
-@query("stream_sessions", f"{SESSIONS_SQL} SELECT * FROM sessions WHERE session_end <= {_CLOSED}")
+
+@query("stream_sessions", f"{SESSIONS_SQL} SELECT * FROM sessions")
 def stream_sessions(spark, sf_dir):
     out, checkpoint = fresh_dir(spark, "sessions"), fresh_dir(spark, "checkpoint")
-    st.replay(st.land(_sessions(spark, sf_dir), out, checkpoint))
+    _replay_all(spark, sf_dir, lambda events: st.land(_sessions(events), out, checkpoint))
     return spark.read.parquet(out)
 
 
-@query("session_upsert", f"{SESSIONS_SQL} SELECT * FROM sessions WHERE session_end <= {_CLOSED}")
+SESSIONS = (T.StructType().add("event_type", "string").add("user_half", "long")
+            .add("session_start", "timestamp").add("session_end", "timestamp").add("num_trips", "long"))
+
+
+@query("session_upsert", f"{SESSIONS_SQL} SELECT * FROM sessions")
 def session_upsert(spark, sf_dir):
-    out, checkpoint = fresh_dir(spark, "keyed"), fresh_dir(spark, "checkpoint")
-    sink = st.session_sink(out)
+    """Two runs with a checkpoint each, one of which delivers every batch twice, into one keyed table."""
+    keyed = KeyedTable(fresh_dir(spark, "keyed"), SESSIONS, [*SESSION_KEYS, "session_start"], 8)
 
-    def twice(batch, batch_id):
-        # A batch that is delivered again must not change the table.
-        sink(batch, batch_id)
-        sink(batch, batch_id)
+    def run(times):
+        checkpoint = fresh_dir(spark, "checkpoint")
+        sink = st.session_sink(keyed, ["session_end", "num_trips"])
 
-    st.replay(_sessions(spark, sf_dir).writeStream.outputMode("append").foreachBatch(twice)
-              .option("checkpointLocation", checkpoint))
-    return st.read_sessions(spark, out)
+        def deliver(batch, batch_id):
+            for _ in range(times):
+                sink(batch, batch_id)
+        _replay_all(spark, sf_dir, lambda events: _sessions(events).writeStream.outputMode("append")
+                    .foreachBatch(deliver).option("checkpointLocation", checkpoint))
+    run(2)
+    run(1)
+    return keyed.read(spark)
 
 
-@query("tumbling_counts", f"""
-SELECT date_trunc('hour', ts) AS event_hour, event_type, COUNT(*) AS num_hits FROM events
-GROUP BY 1, 2 HAVING date_trunc('hour', MIN(ts)) + INTERVAL 1 HOUR <= {_CLOSED}""")
+@query("tumbling_counts", """
+SELECT date_trunc('hour', ts) AS event_hour, event_type, COUNT(*) AS num_hits FROM events GROUP BY 1, 2""")
 def tumbling_counts(spark, sf_dir):
-    session = st.stream_session(spark)
-    events = st.in_event_time(_stream(spark, sf_dir, session).select("event_type", "ts"), "ts")
     out, checkpoint = fresh_dir(spark, "hours"), fresh_dir(spark, "checkpoint")
-    st.replay(st.land(st.tumbling_counts(events, ["event_type"], "ts"), out, checkpoint))
+    _replay_all(spark, sf_dir, lambda events: st.land(
+        st.tumbling_counts(events.select("event_type", "ts"), ["event_type"], "ts"), out, checkpoint))
     return spark.read.parquet(out)
 
 
@@ -86,6 +107,9 @@ def late_rows(spark, sf_dir):
     out = fresh_dir(spark, "on_time")
     session = st.stream_session(spark, merge_first=False)
 
+    counter = st.LateRows()
+    session.streams.addListener(counter)
+
     def run():
         arrived = st.in_event_time(stream_files(session, f"{inbox}/*", events.schema), "ts")
         # Keyed by event, so that no two rows are counted as one.
@@ -94,5 +118,6 @@ def late_rows(spark, sf_dir):
     write_parquet(events.where(F.col("ts") >= middle), f"{inbox}/first")
     run()
     write_parquet(events.where(F.col("ts") < middle), f"{inbox}/second")
-    dropped = st.late_rows(run())
-    return spark.range(1).select(F.lit(dropped).cast("bigint").alias("late_rows"))
+    dropped = counter.total(run())
+    session.streams.removeListener(counter)
+    return spark.range(1).select(F.lit(dropped).cast("long").alias("late_rows"))

@@ -141,7 +141,8 @@ def monthly_fare_percentiles(spark, sf_dir):
 grouped AS (SELECT service_type, year, month, {_FARES} FROM paid GROUP BY 1, 2, 3)
 SELECT * FROM paid JOIN grouped USING (service_type, year, month)""")
 def fare_percentile_window(spark, sf_dir):
-    rows = marts.fare_percentile_window(fact(spark, sf_dir), land=True)
+    stored = Layers(spark, fresh_name("fares") + "_").store("fact", fact(spark, sf_dir), "table")
+    rows = marts.fare_percentile_window(stored)
     return rows.withColumns({n: F.round(n, 4) for n in marts.FARE_PROBS})
 
 
@@ -267,8 +268,7 @@ def quality_report(spark, sf_dir):
     warn = quality.WARN
     return quality.enforce(quality.quality_report([
         quality.check_unique(stage, "tripid", warn),
-        quality.check_not_null(stage, ["tripid"], warn),
-        quality.check_accepted(stage, "payment_type", models.ACCEPTED_PAYMENTS, warn),
+        quality.check_columns(stage, ["tripid"], {"payment_type": models.ACCEPTED_PAYMENTS}, warn),
         quality.check_relationships(stage, "pickup_locationid", known, "locationid", warn),
         quality.check_relationships(stage, "dropoff_locationid", known, "locationid", warn),
         quality.check_not_null(zones, ["locationid"]),

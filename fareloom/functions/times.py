@@ -55,12 +55,21 @@ def days_before(as_of: dt.date | str, days: int) -> Column:
     return F.date_sub(F.lit(as_of).cast("date"), days)
 
 
-def parse_ts(text: ColumnOrName, fmt: str | None = None) -> Column:
-    """Text to a wall-clock time; text that does not parse gives null."""
+def _or_fail(text: Column, parsed: Column, bad: str) -> Column:
+    if bad == "null":
+        return parsed
+    if bad != "fail":
+        raise ValueError(f"unknown way to treat bad text: {bad!r}")
+    message = F.concat(F.lit("not a time: "), text)
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(parsed)
+
+
+def parse_ts(text: ColumnOrName, fmt: str | None = None, bad: str = "fail") -> Column:
+    """Text to a wall-clock time. Text that does not parse stops the job, or is null with ``bad="null"``."""
     text = _col(text)
-    if fmt is None:
-        return text.try_cast("timestamp_ntz")
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+    parsed = text.try_cast("timestamp_ntz") if fmt is None else F.try_to_timestamp(
+        text, F.lit(fmt)).cast("timestamp_ntz")
+    return _or_fail(text, parsed, bad)
 
 
 def floor_second(ts: ColumnOrName) -> Column:
@@ -71,6 +80,7 @@ def floor_milli(ts: ColumnOrName) -> Column:
     return F.date_trunc("millisecond", _col(ts)).cast("timestamp_ntz")
 
 
-def naive_utc(text: ColumnOrName) -> Column:
-    """A zoned time text as its UTC wall clock, cut to milliseconds."""
-    return floor_milli(_col(text).try_cast("timestamp"))
+def naive_utc(text: ColumnOrName, bad: str = "fail") -> Column:
+    """A zoned time text as its UTC wall clock, cut to milliseconds; ``bad`` as in ``parse_ts``."""
+    text = _col(text)
+    return _or_fail(text, floor_milli(text.try_cast("timestamp")), bad)

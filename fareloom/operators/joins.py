@@ -1,8 +1,7 @@
 """Joins to dimensions and key lookups.
 
 No broadcast is forced on data that can grow: Spark compares the measured size of a side with its own
-threshold, and adaptive execution splits hot partitions of sort-merge joins. The one explicit broadcast
-below is of a table whose row count is bounded by arithmetic.
+threshold, and adaptive execution splits hot partitions of sort-merge joins.
 """
 
 from __future__ import annotations
@@ -10,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "_salt"
-
 
 def join_dim(df: DataFrame, dim: DataFrame, fk: str, pk: str, columns: list[str],
              how: str = "inner") -> DataFrame:
@@ -30,41 +27,14 @@ def role_join(df: DataFrame, dim: DataFrame, roles: dict[str, str], pk: str,
     return df
 
 
-def spread_join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-                hot_share: int = 1000, salts: int = 64) -> DataFrame:
-    """Join rows to a lookup with one row per key, splitting the keys that hold many rows.
+def unmatched(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Source rows whose key the target does not have, duplicates and null keys included.
 
-    A key is hot when it holds more than one row in ``hot_share``, so fewer than ``hot_share`` keys can
-    be hot and their list is safe to broadcast. Hot rows are spread over ``salts`` tasks by the number
-    of the partition they come from, which a repeated task reproduces; the lookup row of a hot key is
-    repeated once per salt. Cold keys are joined as usual. ``how`` is inner, left, left_semi or left_anti.
+    Rows without a key match nothing and go past the join, so they never meet in one task. A key that holds
+    many source rows is split by adaptive execution.
     """
-    tally = rows.groupBy(*on).agg(F.count("*").alias("_rows"))
-    total = tally.agg(F.sum("_rows")).scalar()
-    hot = F.broadcast(tally.where(F.col("_rows") * hot_share > total)
-                      .select(*on, F.lit(True).alias("_hot")))
-    # Rows without a key match nothing, but they too would meet in one task.
-    spread = F.coalesce(F.col("_hot"), F.lit(False))
-    for key in on:
-        spread = spread | F.col(key).isNull()
-    salted_rows = (
-        rows.withColumn("_from", F.spark_partition_id())
-        .join(hot, on, "left")
-        .withColumn(_SALT, F.when(spread, F.pmod("_from", F.lit(salts))).otherwise(0))
-        .drop("_hot", "_from")
-    )
-    salted_lookup = (
-        lookup.join(hot, on, "left")
-        .withColumn(_SALT, F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                     .otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted_rows.join(salted_lookup, [*on, _SALT], how).drop(_SALT)
-
-
-def unmatched(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Source rows whose key the target does not have, duplicates and null keys included."""
-    return spread_join(source, target.select(key).distinct(), [key], "left_anti")
+    keyed = source.where(F.col(key).isNotNull()).join(target.select(key), key, "left_anti")
+    return keyed.select(*source.columns).union(source.where(F.col(key).isNull()))
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import unmatched
@@ -23,10 +23,20 @@ def append_new(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return unmatched(source, target, key)
 
 
+def once_per_key(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The same rows; the task that meets a key a second time, or a null in a key, fails."""
+    bad = F.when(F.col("_rows") > 1, F.lit("more than one source row for a key"))
+    for k in key:
+        bad = F.when(F.col(k).isNull(), F.lit("a source row without a key")).otherwise(bad)
+    counted = source.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*key))).withColumn("_bad", bad)
+    return counted.where(F.when(F.col("_bad").isNull(), True).otherwise(
+        F.raise_error(F.col("_bad")).cast("boolean"))).select(*source.columns)
+
+
 def match_merge(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Target and source side by side: structs ``t`` and ``s``, null where a side lacks the key.
 
-    Both sides hold a key once, so no key can grow in the join.
+    The source must hold a key once (``once_per_key``), so that no key can grow in the join.
     """
     left = target.select(*key, F.struct("*").alias("t"))
     right = source.select(*key, F.struct("*").alias("s"))
@@ -35,13 +45,13 @@ def match_merge(target: DataFrame, source: DataFrame, key: Sequence[str]) -> Dat
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], set_columns: Sequence[str],
            mode: str = "replace") -> DataFrame:
-    """Target with matched rows updated and new rows inserted.
+    """Target with matched rows updated and new rows inserted; a repeated source key is an error.
 
     ``replace`` takes the source value of the set columns, ``add`` adds it to the stored one.
     """
     if mode not in ("replace", "add"):
         raise ValueError(f"unknown mode {mode!r}")
-    merged = match_merge(target, source, key)
+    merged = match_merge(target, once_per_key(source, key), key)
 
     def column(name: str):
         old, new = F.col("t").getField(name), F.col("s").getField(name)

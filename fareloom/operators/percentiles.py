@@ -2,7 +2,8 @@
 
 Spark's own ``percentile`` keeps every distinct value of a group in one buffer, which a hot group with
 many values outgrows. Here a group is first counted by value, then by slot of neighbouring values. The
-slot totals tell which slots hold the wanted ranks; only the values of those slots are ordered.
+slot totals tell which slots hold the wanted ranks; those are counted by finer slots in the same way, and
+only the values of the fine slots found (at most 2 ** 19 each) are ordered.
 """
 
 from __future__ import annotations
@@ -12,21 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
-from .joins import spread_join
+_COARSE, _FINE = 13, 20  # bits of the mantissa; 19 are left, so a fine slot has at most 2 ** 19 values
 
-_SLOTS_PER_E_FOLD = 8192
 
+def _slots(value: Column) -> tuple[Column, Column]:
+    """A coarse and a fine slot; together they never fall when the value rises, whatever its size.
 
-def _slot(value: Column) -> Column:
-    """A number that never falls when the value rises; a slot is about 0.012 % of the value wide.
-
-    It is never null: a nullable key would put a null filter into one of the two uses of the counts, and
-    Spark would then count twice.
+    A double is sign, exponent and 52 bits of mantissa. The coarse slot holds sign, exponent and the first
+    ``_COARSE`` bits, the fine one the next ``_FINE``: wide values and values that differ in their last digits
+    alone are spread alike. Neither is ever null: a nullable key would put a null filter into one of the two
+    uses of the counts, and Spark would then count twice.
     """
-    size = F.floor(F.log1p(F.abs(value)) * _SLOTS_PER_E_FOLD).cast("double")
-    return F.when(F.isnan(value), F.lit(float("inf"))).otherwise(
-        F.coalesce(F.signum(value) * size, F.lit(0.0)))
+    size = F.abs(value)
+    plain = (size > 0) & (size < F.lit(float("inf")))
+    guess = F.floor(F.log2(size))
+    guess = F.when(size < F.pow(F.lit(2.0), guess), guess - 1).when(
+        size >= F.pow(F.lit(2.0), guess + 1), guess + 1).otherwise(guess)
+    # Halved twice, because 2 ** 1024 and, for the smallest numbers, 2 ** 1074 have no double.
+    half = F.floor(guess / 2)
+    mantissa = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), guess - half) - 1
+    scaled = mantissa * (1 << _COARSE)
+    coarse = F.signum(value) * ((guess + 1100) * (1 << _COARSE) + F.floor(scaled))
+    fine = F.signum(value) * F.floor((scaled - F.floor(scaled)) * (1 << _FINE))
+    ends = F.when(F.isnan(value), F.lit(float("inf"))).when(size > 0, F.signum(value) * 1e300).otherwise(0.0)
+    return (F.coalesce(F.when(plain, coarse.cast("double")).otherwise(ends), F.lit(0.0)),
+            F.coalesce(F.when(plain, fine.cast("double")), F.lit(0.0)))
 
 
 def _label(p: float) -> str:
@@ -38,13 +49,31 @@ def _counted(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
 
     The keys are one struct because its equality also holds between nulls.
     """
+    slot, fine = _slots(F.col("v"))
     return (
         df.select(F.struct(*keys).alias("g"), value.cast("double").alias("v"))
-        .withColumn("slot", _slot(F.col("v")))
-        .groupBy("g", "slot", "v").agg(F.count("v").alias("c"))
+        .withColumns({"slot": slot, "fine": fine})
+        .groupBy("g", "slot", "fine", "v").agg(F.count("v").alias("c"))
     )
 
 
+def _narrowed(counts: DataFrame, within: DataFrame | None, ranks: Sequence[str]) -> DataFrame:
+    """The slots that hold a wanted rank, with the number of values ``before`` them in their group and its
+    size ``n``: coarse slots of whole groups, or the fine slots of the coarse ones in ``within``."""
+    if within is None:
+        keys, rows = ["g", "slot"], counts.groupBy("g", "slot").agg(F.sum("c").alias("m"))
+        whole, part = Window.partitionBy("g"), Window.partitionBy("g").orderBy("slot")
+        placed = rows.select(*keys, "m", F.sum("m").over(part).alias("upto"), F.sum("m").over(whole).alias("n"))
+    else:
+        keys = ["g", "slot", "fine"]
+        rows = counts.join(within, ["g", "slot"]).groupBy(*keys).agg(
+            F.sum("c").alias("m"), F.first("before").alias("start"), F.first("n").alias("n"))
+        part = Window.partitionBy("g", "slot").orderBy("fine")
+        placed = rows.select(*keys, "m", (F.col("start") + F.sum("m").over(part)).alias("upto"), "n")
+    wanted = " OR ".join(["n = 0", *[f"{rank} BETWEEN upto - m AND upto - 1" for rank in ranks]])
+    return placed.where(wanted).selectExpr(*keys, "upto - m AS before", "n")
+
+
 def _grouped(counts: DataFrame, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """One row per ``g`` with its percentiles; null where it has no values.
 
@@ -53,19 +82,11 @@ def _grouped(counts: DataFrame, probs: Sequence[float], names: Sequence[str]) ->
     """
     position = [f"{float(p)!r}D * (n - 1)" for p in probs]
     ranks = [f"{side}({at})" for at in position for side in ("floor", "ceil")]
-    by_slot = Window.partitionBy("g").orderBy("slot")
-    by_value = (Window.partitionBy("g", "slot").orderBy("v")
+    by_value = (Window.partitionBy("g", "slot", "fine").orderBy("v")
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    slots = (
-        counts.groupBy("g", "slot").agg(F.sum("c").alias("m"))
-        .select("g", "slot", "m", F.sum("m").over(by_slot).alias("upto"),
-                F.sum("m").over(Window.partitionBy("g")).alias("n"))
-        .where(" OR ".join(["n = 0", *[f"{rank} BETWEEN upto - m AND upto - 1" for rank in ranks]]))
-        .selectExpr("g", "slot", "upto - m AS before", "n")
-    )
+    slots = _narrowed(counts, _narrowed(counts, None, ranks), ranks)
     ranked = (
-        counts.join(slots, ["g", "slot"])
+        counts.join(slots, ["g", "slot", "fine"])
         .select("g", "v", "n", "c", (F.col("before") + F.sum("c").over(by_value)).alias("upto"))
     )
     picks = [f"max(CASE WHEN {rank} BETWEEN upto - c AND upto - 1 THEN v END) AS r{i}"
@@ -95,25 +116,12 @@ def percentiles_by(df: DataFrame, keys: Sequence[str], value: str | Column,
 
 
 def percentiles_over(df: DataFrame, keys: Sequence[str], value: str | Column,
-                     probs: Sequence[float], names: Sequence[str] | None = None,
-                     broadcast_groups: int = 100_000, land: bool = False) -> DataFrame:
+                     probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """Every row with the percentiles of its group, as a window over the whole partition would give.
 
-    The rows are looked at twice: ``land`` writes them to the shared folder first, which pays when they
-    come out of joins rather than from a file. The groups are written to the shared folder first. Up to ``broadcast_groups`` of them, some 10 MB,
-    are broadcast, so that the rows stay where they are; more are joined by key, hot keys split.
+    The rows are looked at twice, so ``df`` should come from stored rows. The join to the groups is chosen by
+    their measured size; if they are too many to broadcast, adaptive execution splits hot groups.
     """
     value = F.col(value) if isinstance(value, str) else value
-    names = list(names or [_label(p) for p in probs])
-    spark = df.sparkSession
-    if land:
-        landed = fresh_dir(spark, "rows")
-        df.write.parquet(landed)
-        df = spark.read.parquet(landed)
-    path = fresh_dir(spark, "percentiles")
-    _grouped(_counted(df, keys, value), probs, names).write.parquet(path)
-    groups = spark.read.parquet(path)
-    keyed = df.withColumn("g", F.struct(*keys))
-    if groups.count() <= broadcast_groups:
-        return keyed.join(F.broadcast(groups), "g", "left").drop("g")
-    return spread_join(keyed, groups, ["g"], "left").drop("g")
+    groups = _grouped(_counted(df, keys, value), probs, list(names or [_label(p) for p in probs]))
+    return df.withColumn("g", F.struct(*keys)).join(groups, "g", "left").drop("g")

@@ -49,6 +49,20 @@ def check_not_null(df: DataFrame, columns: Sequence[str], severity: str = ERROR)
         F.col("r.failures").cast("bigint").alias("failures"))
 
 
+def check_columns(df: DataFrame, not_null: Sequence[str] = (), accepted: dict[str, Sequence] | None = None,
+                  severity: str = ERROR) -> DataFrame:
+    """Null counts and unaccepted values of all columns in one pass over the data."""
+    accepted = accepted or {}
+    _bind(df, *not_null, *accepted)
+    counts = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null]
+    counts += [("accepted_values", c, F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*values)))
+               for c, values in accepted.items()]
+    counted = df.agg(*[n.cast("bigint").alias(f"_{i}") for i, (_, _, n) in enumerate(counts)])
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(c).alias("column"), F.lit(severity).alias("severity"),
+                 F.col(f"_{i}").alias("failures")) for i, (check, c, _) in enumerate(counts)])))
+
+
 def unaccepted(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """The values outside the accepted list with their row counts."""
     _bind(df, column)
@@ -92,8 +106,10 @@ def quality_report(checks: Sequence[DataFrame]) -> DataFrame:
 
 
 def enforce(report: DataFrame) -> DataFrame:
-    """Raise if a check of level error failed; warnings pass. The report has one row per check."""
-    failed = report.where("status = 'error'").collect()
+    """Raise if a check of level error failed; warnings pass. The checks run once: the rows returned, one per
+    check, are those that were looked at."""
+    rows = report.collect()
+    failed = [r for r in rows if r["status"] == "error"]
     if failed:
         raise CheckFailed("; ".join(f"{r['check']}({r['column']}): {r['failures']}" for r in failed))
-    return report
+    return report.sparkSession.createDataFrame(rows, report.schema)

@@ -11,20 +11,23 @@ from .aggregates import top_k
 
 
 def session_counts(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int = 300,
-                   name: str = "num_trips") -> DataFrame:
+                   name: str = "num_trips", column: str = "*") -> DataFrame:
     """Sessions per key: rows no more than the gap apart belong together; the end is last + gap.
 
+    ``column`` counts its non-null values instead of rows.
+
     Rows of one key and one stretch of gap length always share a session, so they are first counted
     per stretch. That spreads a hot key over the time line and leaves at most one row per stretch,
     however many rows it had; only those are then put in order.
     """
     gap = gap_seconds * 1_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    counted = F.lit(1) if column == "*" else F.when(F.col(column).isNotNull(), 1)
     stretches = (
         df.where(F.col(ts).isNotNull())
-        .select(*keys, micros.alias("_t"))
+        .select(*keys, micros.alias("_t"), counted.alias("_counted"))
         .groupBy(*keys, F.floor(F.col("_t") / F.lit(gap)).alias("_stretch"))
-        .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count("*").alias("_n"))
+        .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count("_counted").alias("_n"))
     )
     line = Window.partitionBy(*keys).orderBy("_stretch")
     starts = F.coalesce((F.col("_first") - F.lag("_last").over(line) > gap).cast("int"), F.lit(1))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import row_hash
 from ..operators.joins import unmatched
 from ..schemas import TRIP_CSV
-from ..session import fresh_dir
+from ..session import discard, file_system, fresh_dir
 from ..sources.files import scan_months
 
 PART = "pickup_month"
@@ -45,23 +45,45 @@ def stored(spark: SparkSession, table_path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(table_path)
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    files, hadoop = file_system(spark, path)
+    return files.exists(hadoop)
+
+
+def _append(staging: DataFrame, table_path: str) -> None:
+    staging.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(table_path)
+
+
 def store(spark: SparkSession, table_path: str, staging: DataFrame,
           key: str = "unique_row_id") -> None:
     """Merge staged rows into the table, made by the first load, with one folder per pickup month.
 
-    The rows are landed first: the merge looks at them several times, mostly at their keys alone.
+    The rows are landed first, because the merge looks at their months before it looks at their keys; the
+    landed folder goes when the rows are stored.
     """
     landed = fresh_dir(spark, "staging")
     staging.write.parquet(landed)
     staging = spark.read.parquet(landed)
-    path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if _is_there(spark, table_path):
         staging = rows_to_insert(stored(spark, table_path, staging.schema), staging, key)
-    staging.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(table_path)
+    _append(staging, table_path)
+    discard(spark, landed)
 
 
 def ingest_months(spark: SparkSession, root: str, kind: str, months: Sequence[str],
-                  table_path: str, template: str = "{kind}_tripdata_{month}.csv.gz") -> None:
-    """Load the files of one month, or of a range for a backfill. Loading them again adds nothing."""
-    rows = scan_months(spark, root, kind, months, TRIP_CSV[kind], template)
-    store(spark, table_path, with_month(with_row_id(rows, kind), _PICKUP[kind]))
+                  table_path: str, template: str = "{kind}_tripdata_{month}.csv.gz",
+                  gaps: bool = False, bad_rows: str = "fail") -> None:
+    """Load the files of one month, or of a range for a backfill. Loading them again adds nothing.
+
+    Yellow and green rows are told apart by their hash. For-hire rows have no identifying fields: a file whose
+    name is stored already is left out, every other one is appended whole.
+    """
+    rows = scan_months(spark, root, kind, months, TRIP_CSV[kind], template, gaps=gaps, bad_rows=bad_rows)
+    if kind in _PICKUP:
+        store(spark, table_path, with_month(with_row_id(rows, kind), _PICKUP[kind]))
+        return
+    rows = with_month(rows, "pickup_datetime")
+    if _is_there(spark, table_path):
+        known = stored(spark, table_path, rows.schema).select("filename").distinct()
+        rows = rows.join(known, "filename", "left_anti").select(*rows.columns)
+    _append(rows, table_path)

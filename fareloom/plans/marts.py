@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import date_parts, month_start, seconds_between, year_quarter
+from ..functions import date_parts, month_start, seconds_between
 from ..operators.aggregates import sum_by
 from ..operators.filters import where_in, where_positive
 from ..operators.percentiles import percentiles_by, percentiles_over
@@ -72,10 +72,10 @@ def monthly_fare_percentiles(fact: DataFrame, approx: bool = False) -> DataFrame
                           list(FARE_PROBS.values()), list(FARE_PROBS), approx)
 
 
-def fare_percentile_window(fact: DataFrame, land: bool = False) -> DataFrame:
-    """One row per paid trip with the percentiles of its month; ``land`` if the fact is not stored."""
+def fare_percentile_window(fact: DataFrame) -> DataFrame:
+    """One row per paid trip with the percentiles of its month. The stored fact is read twice."""
     return percentiles_over(paid_fares(fact), FARE_KEYS, "fare_amount",
-                            list(FARE_PROBS.values()), list(FARE_PROBS), land=land)
+                            list(FARE_PROBS.values()), list(FARE_PROBS))
 
 
 @model("table")
@@ -99,9 +99,3 @@ def nth_longest_route(routes: DataFrame, n: int, pickup_zones: list[str] | None
     if month is not None:
         routes = routes.where(F.col("month") == month)
     return nth_by(routes, ["year", "month", "pickup_zone"], "p90", n)
-
-
-def labelled_dates(fact: DataFrame, ts: str = "pickup_datetime") -> DataFrame:
-    """Every trip with the date parts the marts group by."""
-    return fact.select("tripid", *date_parts(ts), year_quarter(ts).alias("year_quarter"),
-                       F.to_date(ts).alias("day"), month_start(ts).alias("month_start"))

@@ -11,7 +11,7 @@ from ..functions import bucket, day, hours_between, thousands
 from ..operators.aggregates import (bottom_k, count_by, count_distinct, distinct, max_by_key, max_of,
                                     row_count, sum_by, sum_having, top_by_max, top_k)
 from ..operators.filters import Day, between_days, between_half_open, between_literal, on_day
-from ..operators.joins import join_dim, role_join
+from ..operators.joins import join_dim
 
 # The distance segments of the report.
 SEGMENT_EDGES = [1, 3, 7, 10]
@@ -48,11 +48,15 @@ def top_pickup_zones(trips: DataFrame, zones: DataFrame, pickup: str, date: Day,
 
 def largest_tip_zone(trips: DataFrame, zones: DataFrame, pickup: str, low: Day, high: Day,
                      zone: str) -> DataFrame:
-    """The drop-off zone with the largest tip among trips that started in ``zone``."""
-    inside = between_days(trips, pickup, low, high)
-    by_route = max_by_key(inside, ["pulocationid", "dolocationid"], "tip_amount", "tip")
-    named = role_join(by_route, zones, {"pickup": "pulocationid", "dropoff": "dolocationid"},
-                      "locationid", ["zone"]).where(F.col("pickup_zone") == zone)
+    """The drop-off zone with the largest tip among trips that started in ``zone``.
+
+    The ids of the zone, a handful, are looked up first: as literals they reach the scan of the trips.
+    """
+    ids = [r[0] for r in zones.where(F.col("zone") == zone).select("locationid").distinct().collect()]
+    inside = between_days(trips.where(F.col("pulocationid").isin(ids)), pickup, low, high)
+    by_drop = max_by_key(inside, ["dolocationid"], "tip_amount", "tip")
+    named = join_dim(by_drop, zones.withColumnRenamed("zone", "dropoff_zone"), "dolocationid", "locationid",
+                     ["dropoff_zone"])
     return top_by_max(named, ["dropoff_zone"], "tip", "largest_tip")
 
 

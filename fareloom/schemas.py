@@ -73,7 +73,8 @@ RENAMES = {
                "dropoff_datetime": "tpep_dropoff_datetime"},
     "green": {**EXPORT_RENAMES, "pickup_datetime": "lpep_pickup_datetime",
               "dropoff_datetime": "lpep_dropoff_datetime"},
-    "fhv": {"PUlocationID": "pulocationid", "DOlocationID": "dolocationid"},
+    "fhv": {"PUlocationID": "pulocationid", "DOlocationID": "dolocationid",
+            "tpep_pickup_datetime": "pickup_datetime", "tpep_dropoff_datetime": "dropoff_datetime"},
 }
 
 # The service-independent trip shape that staging reads.

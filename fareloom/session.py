@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -64,11 +65,56 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_FOLDERS: dict[str, SparkSession] = {}
+_TABLES: set[str] = set()
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/fareloom/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing has used before.
+
+    This module owns it: ``release`` removes it, at the latest when Python ends. Whoever knows earlier that
+    no plan reads it any more calls ``discard``.
+    """
+    path = f"{shared_dir(spark)}/fareloom/{label}-{uuid.uuid4().hex}"
+    _FOLDERS[path] = spark
+    return path
 
 
 def fresh_name(label: str) -> str:
-    """A table or view name that nothing has used before."""
-    return f"fl_{label}_{uuid.uuid4().hex[:12]}"
+    """A table or view name that nothing has used before; ``release`` drops it."""
+    name = f"fl_{label}_{uuid.uuid4().hex[:12]}"
+    _TABLES.add(name)
+    return name
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as that system knows it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that no plan reads any more."""
+    _FOLDERS.pop(path, None)
+    files, hadoop = file_system(spark, path)
+    files.delete(hadoop, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all folders and tables made for intermediate results. Frames that read them are void."""
+    for name in sorted(_TABLES):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _TABLES.clear()
+    for path in list(_FOLDERS):
+        discard(spark, path)
+
+
+def _release_at_exit() -> None:
+    for path, spark in list(_FOLDERS.items()):
+        try:
+            discard(spark, path)
+        except Exception:  # the JVM or the store may be gone already
+            return
+
+
+atexit.register(_release_at_exit)

@@ -2,12 +2,13 @@
 
 from .files import (latest_version, land_version, read_latest, write_csv, write_parquet,
                     write_partitioned)
+from .keyed import KeyedTable
 from .tables import (Layers, append, create_as, ensure_table, materialize, model, replace,
                      replace_schema, required)
 from .topics import json_payload, publish_json
 
 __all__ = [
-    "Layers", "append", "create_as", "ensure_table", "json_payload", "land_version",
+    "KeyedTable", "Layers", "append", "create_as", "ensure_table", "json_payload", "land_version",
     "latest_version", "materialize", "model", "publish_json", "read_latest", "replace",
     "replace_schema", "required", "write_csv", "write_parquet", "write_partitioned",
 ]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import floor_milli
+from ..session import file_system
 
 
 def write_parquet(df: DataFrame, path: str, files: int | None = None, codec: str = "snappy",
@@ -37,16 +39,13 @@ def write_partitioned(df: DataFrame, path: str, part: str, cluster: Sequence[str
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Finished versions: those whose commit left its success marker."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, folder = file_system(spark, root)
     if not files.exists(folder):
         return []
     found = []
     for status in files.listStatus(folder):
-        path = status.getPath()
-        name = path.getName()
-        if name.startswith("v=") and files.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+        name = status.getPath().getName()
+        if re.fullmatch(r"v=\d+", name) and files.exists(file_system(spark, f"{root}/{name}/_SUCCESS")[1]):
             found.append(int(name[2:]))
     return sorted(found)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import fresh_dir
+from ..session import discard, fresh_dir
 
 
 def create_as(name: str, df: DataFrame, path: str) -> DataFrame:
@@ -64,15 +64,29 @@ def replace_schema(spark: SparkSession, name: str, schema: T.StructType, path: s
     return ensure_table(spark, name, schema, path)
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where the files of a table lie; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return lines[0]["data_type"] if lines else None
+
+
 def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Store the result of ``build`` under ``name``; calling it again refreshes the stored rows.
 
-    The new rows are written completely before the name moves to them.
+    The new rows are written completely before the name is pointed at them, so it is never without rows; then
+    the old files go. Frames made before a refresh must be taken from the table anew.
     """
     path = fresh_dir(spark, name)
     build().write.parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    old = _location(spark, name)
+    if old is None:
+        spark.catalog.createTable(name, path=path, source="parquet")
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+        discard(spark, old)
     return spark.table(name)
 
 

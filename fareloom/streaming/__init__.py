@@ -1,7 +1,7 @@
 """Structured Streaming jobs: sessions, hourly counts and plain landing."""
 
-from .events import (in_event_time, land, late_rows, read_sessions, replay, session_sink,
-                     session_stream, stream_session, tumbling_counts, watch_progress)
+from .events import (LateRows, end_replay, in_event_time, land, replay, session_sink, session_stream,
+                     stream_session, tumbling_counts, watch_progress, with_end)
 
-__all__ = ["in_event_time", "land", "late_rows", "read_sessions", "replay", "session_sink",
-           "session_stream", "stream_session", "tumbling_counts", "watch_progress"]
+__all__ = ["LateRows", "end_replay", "in_event_time", "land", "replay", "session_sink", "session_stream",
+           "stream_session", "tumbling_counts", "watch_progress", "with_end"]

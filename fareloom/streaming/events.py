@@ -7,11 +7,20 @@ by the first run of a checkpoint.
 
 from __future__ import annotations
 
+import datetime as dt
+import threading
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
+
+from ..session import file_system
+from ..sinks.keyed import KeyedTable
+from ..sources.topics import stream_files
 
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _INHERITED = ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")
@@ -38,10 +47,13 @@ def in_event_time(df: DataFrame, ts: str, delay: str = "5 seconds") -> DataFrame
 
 
 def session_stream(events: DataFrame, keys: Sequence[str], ts: str, gap: str = "5 minutes",
-                   name: str = "num_trips") -> DataFrame:
-    """Sessions per key of a stream in event time; a session is emitted once the watermark passed it."""
+                   name: str = "num_trips", column: str = "*") -> DataFrame:
+    """Sessions per key of a stream in event time; a session is emitted once the watermark passed it.
+
+    ``column`` counts its non-null values instead of rows.
+    """
     window = F.session_window(ts, gap).alias("session")
-    return (events.groupBy(*keys, window).agg(F.count("*").alias(name))
+    return (events.groupBy(*keys, window).agg(F.count(column).alias(name))
             .select(*keys, F.col("session.start").alias("session_start"),
                     F.col("session.end").alias("session_end"), name))
 
@@ -60,19 +72,33 @@ def land(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
             .option("path", path).option("checkpointLocation", checkpoint))
 
 
-def session_sink(path: str):
-    """A batch function that stores sessions keyed by (keys, session_start).
+def session_sink(table: KeyedTable, set_columns: Sequence[str], run: str | None = None):
+    """A batch function that merges sessions into a keyed table.
 
-    The watermark lets a session out once, so a key never comes in two batches; a batch that runs again
-    after a failure replaces its own folder. Writing costs the size of the batch, not of the table.
+    A session that comes again, from a repeated batch or from another run over the same events, replaces itself.
+    With the name of a ``run`` (one per checkpoint) batches that were merged before are left out.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        table.merge(batch, set_columns, run=run, batch=batch_id)
     return write
 
 
-def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path).drop("batch")
+def with_end(events: DataFrame, session: SparkSession, folder: str) -> DataFrame:
+    """A stream that also takes the closing row of ``end_replay`` from ``folder``, which is made here."""
+    files, path = file_system(session, folder)
+    files.mkdirs(path)
+    return events.unionByName(stream_files(session, folder, events.schema))
+
+
+def end_replay(spark: SparkSession, folder: str, schema: T.StructType, ts: str, at: dt.datetime) -> None:
+    """Write the closing row of a finished replay: only its time ``at``, far behind all events, is set.
+
+    The next run of the query takes it, which moves the watermark past everything that is still open. The row's
+    own window stays open, so it is in no result.
+    """
+    row = [F.lit(at).cast(f.dataType).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
+           for f in schema.fields]
+    spark.range(1).select(*row).write.mode("append").parquet(folder)
 
 
 def replay(writer: DataStreamWriter) -> StreamingQuery:
@@ -87,8 +113,37 @@ def watch_progress(writer: DataStreamWriter, interval: str = "60 seconds") -> St
     return writer.trigger(processingTime=interval).start()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the stateful operators dropped behind the watermark, as far as progress is kept."""
-    return sum(int(state["numRowsDroppedByWatermark"])
-               for progress in query.recentProgress
-               for state in progress["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators dropped behind the watermark, batch by batch as they are reported.
+
+    Add it to the streams of a session before the query starts: ``session.streams.addListener(counter)``.
+    """
+
+    def __init__(self):
+        self._dropped: dict[str, int] = defaultdict(int)
+        self._over: set[str] = set()
+        self._told = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self._told:
+            self._dropped[str(event.progress.runId)] += sum(
+                s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._told:
+            self._over.add(str(event.runId))
+            self._told.notify_all()
+
+    def total(self, query: StreamingQuery, timeout: float = 60) -> int:
+        """All rows that a finished run dropped. Reports come in order, the end of the run last."""
+        run = str(query.runId)
+        with self._told:
+            if not self._told.wait_for(lambda: run in self._over, timeout):
+                raise TimeoutError("the end of the query was not reported")
+            return self._dropped[run]

@@ -42,7 +42,11 @@ def test_date_labels(spark):
 
 def test_times_from_text(spark):
     assert one(spark, fn.parse_ts("s"), s="2019-10-01 00:26:02") == dt.datetime(2019, 10, 1, 0, 26, 2)
-    assert one(spark, fn.parse_ts("s"), s="soon") is None
+    assert one(spark, fn.parse_ts("s", bad="null"), s="soon") is None
+    assert one(spark, fn.parse_ts("s"), s=F.lit(None).cast("string")) is None
+    for bad in (fn.parse_ts("s"), fn.parse_ts("s", "dd.MM.yyyy"), fn.naive_utc("s")):
+        with pytest.raises(Exception, match="not a time: soon"):
+            one(spark, bad, s="soon")
     assert one(spark, fn.parse_ts("s", "dd.MM.yyyy"), s="31.12.2020") == dt.datetime(2020, 12, 31)
     assert one(spark, fn.naive_utc("s"), s="2025-03-24T10:00:00.123456+02:00") == dt.datetime(
         2025, 3, 24, 8, 0, 0, 123000)

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from fareloom.operators import aggregates as agg
 from fareloom.operators import filters as flt
 from fareloom.operators import joins, merges, percentiles, quality, sessions, windows
@@ -63,38 +64,14 @@ def hot_rows(spark, copies=3000):
                         .otherwise(F.col("id") % 500)))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_plain_join(spark, rows, how):
+def test_unmatched_keeps_copies_and_rows_without_a_key(spark, rows):
     left = hot_rows(spark)
-    right = spark.range(0, 400, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    right = right.union(spark.createDataFrame([(7, 70)], "k long, v long"))
-    spread = joins.spread_join(left, right, ["k"], how, hot_share=20, salts=4)
-    assert rows(spread) == rows(left.join(right, "k", how).select(*spread.columns))
-
-
-@pytest.fixture()
-def no_broadcast(spark):
-    """Joins by shuffle, as between large sides, in as many tasks as partitions."""
-    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
-               "spark.sql.shuffle.partitions": "16"}
-    before = {key: spark.conf.get(key) for key in changed}
-    for key, value in changed.items():
-        spark.conf.set(key, value)
-    yield
-    for key, value in before.items():
-        spark.conf.set(key, value)
-
-
-def test_spread_join_splits_the_hot_key(spark, no_broadcast):
-    left = hot_rows(spark)
-    right = spark.range(500).select(F.col("id").alias("k"))
-
-    def tasks(df):
-        placed = df.withColumn("p", F.spark_partition_id())
-        return placed.where("k = 7").groupBy("p").count().count()
-
-    assert tasks(left.join(right, "k")) == 1
-    assert tasks(joins.spread_join(left, right, ["k"], hot_share=20, salts=8)) > 2
+    right = spark.createDataFrame([(k,) for k in (7, 7, 8, None)], "k long")
+    found = joins.unmatched(left, right, "k")
+    assert found.columns == left.columns
+    assert rows(found) == rows(left.where("k is null or k not in (7, 8)"))
+    plan = plan_of(joins.unmatched(left, right, "k"))
+    assert "Aggregate" not in plan and plan.count("LeftAnti") == 1
 
 
 def test_orphans_are_counted_by_key(spark, rows):
@@ -187,17 +164,38 @@ def test_percentiles_equal_built_in(spark, data):
         assert found[(r.k,)] == pytest.approx(r.p, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("limit,land", [(100, False), (0, True)])
-def test_percentile_window_equals_grouped(spark, limit, land):
+def test_percentile_window_equals_grouped(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("k"), F.sqrt("id").alias("v"))
     df = df.union(spark.createDataFrame([(None, 4.0)], "k long, v double"))
-    over = percentiles.percentiles_over(df, ["k"], "v", [0.9], ["p90"], broadcast_groups=limit,
-                                        land=land)
+    over = percentiles.percentiles_over(df, ["k"], "v", [0.9], ["p90"])
     grouped = {r.k: r.p90 for r in percentiles.percentiles_by(df, ["k"], "v", [0.9], ["p90"]).collect()}
     out = over.collect()
     assert len(out) == 501 and all(r.p90 == grouped[r.k] for r in out)
 
 
+EXTREME = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 2.2250738585072014e-308, 1.0, 1.0000000000000002, 0.9999999999999999, 2.0,
+           4.0, 1e22, -1e22, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), float("nan"), 3.0,
+           1.7e9, 1.7e9 + 1e-6, -2.5, 1e-5, -1e-5]
+
+
+def test_slots_rise_with_the_values(spark):
+    df = spark.createDataFrame([(v,) for v in EXTREME], "v double")
+    slot, fine = percentiles._slots(F.col("v"))
+    found = df.select("v", slot.alias("s"), fine.alias("f")).collect()
+    ordered = sorted(found, key=lambda r: (r.v != r.v, r.v))
+    places = [(r.s, r.f) for r in ordered]
+    assert places == sorted(places) and None not in [x for p in places for x in p]
+
+
+@pytest.mark.parametrize("values", ["id * 1e-10", "1.7e9D + id / 10", "id % 2 * 1e300 + id", "-1e-300 * id", "id"])
+def test_no_slot_holds_much_of_a_hot_group(spark, values):
+    df = spark.range(200_000).select(F.lit(1).alias("k"), F.expr(values).cast("double").alias("v"))
+    counts = percentiles._counted(df, ["k"], F.col("v"))
+    assert counts.groupBy("g", "slot", "fine").count().agg(F.max("count")).first()[0] <= 2000
+    want = df.select(F.percentile("v", [0.1, 0.5, 0.97])).first()[0]
+    assert list(percentiles.percentiles_by(df, ["k"], "v", [0.1, 0.5, 0.97]).first())[1:] == pytest.approx(want, rel=1e-12)
+
+
 def test_approximate_percentiles_are_near(spark):
     df = spark.range(1001).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("v"))
     assert by_group(df, approx=True)[(1,)] == pytest.approx([0, 500, 900, 970, 1000], abs=2)
@@ -319,6 +317,15 @@ def test_upsert_replaces_or_adds(spark, rows):
         merges.upsert(target, source, ["name"], ["n"], mode="merge")
 
 
+@pytest.mark.parametrize("bad", [("a", 2, "s"), (None, 2, "s")])
+def test_upsert_refuses_repeated_and_missing_source_keys(spark, bad):
+    target, source = table(spark, ("a", 1, "t")), table(spark, ("a", 9, "s"), bad)
+    with pytest.raises(Exception, match="source row"):
+        merges.upsert(target, source, ["name"], ["n"]).collect()
+    with pytest.raises(Exception, match="source row"):
+        merges.upsert(target, source, ["name"], ["n"]).select("name").count()
+
+
 # ---- quality
 
 def test_checks_count_failures(spark):
@@ -336,6 +343,20 @@ def test_checks_count_failures(spark):
     assert failures(quality.check_unique(df.limit(0), "id")) == [0]
 
 
+def test_columns_are_checked_in_one_pass(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "z"), (None, "z")], "id int, c string")
+    checked = quality.check_columns(df, ["id", "c"], {"c": ["a"]}, quality.WARN)
+    assert [tuple(r) for r in checked.collect()] == [
+        ("not_null", "id", "warn", 1), ("not_null", "c", "warn", 1), ("accepted_values", "c", "warn", 2)]
+    assert plan_of(checked).split("== Initial")[0].count("Scan") == 1
+
+
+def test_an_enforced_report_is_not_made_again(spark):
+    report = quality.enforce(quality.quality_report([quality.check_row_total(spark.range(3), 3)]))
+    assert "Range" not in plan_of(report)
+    assert [r.status for r in report.collect()] == ["pass"]
+
+
 def test_freshness(spark):
     df = times(spark, "2024-01-01 00:00:00", "2024-01-01 12:00:00")
     def stale(hours):

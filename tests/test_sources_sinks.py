@@ -64,13 +64,59 @@ def test_months_in_one_scan_with_file_names(spark, tmp_path, rows):
     write_month(tmp_path, "2019-10", green_line(), green_line(vendor=""))
     write_month(tmp_path, "2019-11", green_line())
     (tmp_path / "green_tripdata_2019-12.txt").write_text("not a month file")
-    df = sources.scan_months(spark, str(tmp_path), "green", ["2019-09", "2019-10", "2019-11"], files=3)
+    df = sources.scan_months(spark, str(tmp_path), "green", ["2019-09", "2019-10", "2019-11"], files=3,
+                             gaps=True)
     assert rows(df.groupBy("filename").count()) == [
         ("green_tripdata_2019-10.csv.gz", 2), ("green_tripdata_2019-11.csv.gz", 1)]
     assert df.schema["lpep_pickup_datetime"].dataType.simpleString() == "timestamp_ntz"
     assert df.rdd.getNumPartitions() == 3
 
 
+def test_an_absent_month_stops_the_load(spark, tmp_path):
+    write_month(tmp_path, "2019-10", green_line())
+    with pytest.raises(FileNotFoundError, match="2019-09, 2019-11"):
+        sources.scan_months(spark, str(tmp_path), "green", ["2019-09", "2019-10", "2019-11"])
+    with pytest.raises(FileNotFoundError):
+        sources.scan_months(spark, str(tmp_path), "green", ["2019-09"], gaps=True)
+
+
+@pytest.mark.parametrize("line", [green_line(distance="far"), green_line().rsplit(",", 2)[0]])
+def test_a_bad_line_stops_the_load(spark, tmp_path, line):
+    write_month(tmp_path, "2019-10", green_line(), line)
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|Malformed"):
+        sources.scan_months(spark, str(tmp_path), "green", ["2019-10"]).count()
+    assert sources.scan_months(spark, str(tmp_path), "green", ["2019-10"], bad_rows="drop").count() == 1
+
+
+def test_an_exchanged_header_stops_the_load(spark, tmp_path):
+    header = GREEN_HEADER.replace("PULocationID,DOLocationID", "DOLocationID,PULocationID")
+    with gzip.open(tmp_path / "green_tripdata_2019-10.csv.gz", "wt") as out:
+        out.write(f"{header}\n{green_line()}\n")
+    with pytest.raises(Exception, match="header"):
+        sources.scan_months(spark, str(tmp_path), "green", ["2019-10"]).collect()
+
+
+def test_for_hire_files_are_appended_once(spark, tmp_path):
+    def write(month, *lines):
+        with gzip.open(tmp_path / f"fhv_tripdata_{month}.csv.gz", "wt") as out:
+            out.write("\n".join([",".join(schemas.FHV_CSV.fieldNames()), *lines]) + "\n")
+    line = "B00254,2019-01-05 00:33:03,2019-01-05 01:37:20,140,236,,B00254"
+    write("2019-01", line, line)
+    write("2019-02", line.replace("2019-01", "2019-02"))
+    table = fresh_dir(spark, "fhv")
+    for months in (["2019-01"], ["2019-01", "2019-02"], ["2019-02"]):
+        ingest.ingest_months(spark, str(tmp_path), "fhv", months, table)
+    assert spark.read.parquet(table).groupBy("filename").count().orderBy("filename").collect() == [
+        ("fhv_tripdata_2019-01.csv.gz", 2), ("fhv_tripdata_2019-02.csv.gz", 1)]
+
+
+def test_renamed_for_hire_exports_can_be_staged(spark):
+    export = spark.createDataFrame([("1", "2019-01-01", "2019-01-01", 1, 2, None, "B1")],
+                                   "dispatching_base_num string, tpep_pickup_datetime string, tpep_dropoff_datetime string,"
+                                   "PUlocationID int, DOlocationID int, SR_Flag int, Affiliated_base_number string")
+    assert trips.stage_fhv(sources.canonical(export, "fhv")).count() == 1
+
+
 def test_a_month_loaded_twice_adds_nothing(spark, tmp_path, rows):
     table = fresh_dir(spark, "green")
     twin = green_line(tip="3")  # the hash does not look at the tip
@@ -148,6 +194,29 @@ def test_pages_end_at_the_first_empty_one(spark, tmp_path):
     assert sources.scan_json_pages(spark, str(tmp_path), schemas.RIDES_JSON, base_page=3).count() == 0
 
 
+def test_a_missing_page_stops_the_load(spark, tmp_path):
+    write_pages(tmp_path, [ride(1)], [ride(2)], [ride(3)], [ride(4)])
+    (tmp_path / "page_3.json").unlink()
+    with pytest.raises(FileNotFoundError, match=r"\[3\]"):
+        sources.scan_json_pages(spark, str(tmp_path), schemas.RIDES_JSON)
+    (tmp_path / "page.json").write_text("[]")
+    with pytest.raises(ValueError, match="number"):
+        sources.scan_json_pages(spark, str(tmp_path), schemas.RIDES_JSON)
+
+
+def test_pages_are_parsed_by_one_scan(spark, tmp_path):
+    write_pages(tmp_path, [ride(1)], [ride(2)])
+    df = sources.scan_json_pages(spark, str(tmp_path), schemas.RIDES_JSON)
+    assert df.count() == 2 and plan_of(df).count("FileScan") == 1
+
+
+def test_a_broken_event_line_stops_the_load(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1", "type": "x"}\n{"id": "2", \n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|Malformed"):
+        sources.scan_events_json(spark, str(tmp_path)).count()
+    assert sources.scan_events_json(spark, str(tmp_path), bad_rows="drop").count() == 1
+
+
 @pytest.mark.parametrize("full", [0, 1, 2, 3, 6])
 def test_paged_source_reads_all_full_pages(spark, tmp_path, full):
     pages = [[ride(10 * n), ride(10 * n + 1)] for n in range(full)]
@@ -276,6 +345,57 @@ def test_models_are_views_or_tables(spark):
         layers.store("x", spark.range(1), "index")
 
 
+def names(path):
+    import pathlib
+    return {str(f.relative_to(path)) for f in pathlib.Path(path).rglob("*.parquet")}
+
+
+def test_a_keyed_merge_rewrites_only_what_it_touches(spark, rows):
+    table = sinks.KeyedTable(fresh_dir(spark, "keyed"), schemas.WATCH_COUNTS, ["name"], 8)
+    assert table.read(spark).count() == 0
+
+    def counts(*pairs):
+        return spark.createDataFrame(pairs, "name string, watch_count long")
+    table.merge(counts(*[(f"r{i}", 1) for i in range(100)]), ["watch_count"])
+    first, frame = table.folders(spark), table.read(spark)
+    assert len(first) == 8
+    table.merge(counts(("r1", 5), ("r1b", 2)), ["watch_count"], "add", run="hour", batch=3)
+    second = table.folders(spark)
+    changed = {b for b in first if first[b] != second[b]}
+    assert 1 <= len(changed) <= 2
+    assert frame.count() == 100  # a reader from before the merge still finds its files
+    assert not table.merge(counts(("r1", 5)), ["watch_count"], "add", run="hour", batch=3)
+    assert rows(table.read(spark).where("watch_count > 1")) == [("r1", 6), ("r1b", 2)]
+    with pytest.raises(Exception, match="more than one source row"):
+        table.merge(counts(("r2", 5), ("r2", 6)), ["watch_count"])
+    assert table.read(spark).count() == 101
+    table.merge(counts(("r1", 7)), ["watch_count"], run="hour", batch=4)
+    kept = {f for folder in table.folders(spark).values() for f in names(table.root) if f.startswith(folder)}
+    # What the last merge replaced stays for its readers, older files are gone.
+    assert len(names(table.root) - kept) <= 2
+    with pytest.raises(ValueError):
+        sinks.KeyedTable(table.root, schemas.WATCH_COUNTS, ["name"], 4).read(spark)
+
+
+def test_only_results_are_left_behind(spark, tmp_path):
+    import pathlib
+
+    from fareloom.operators import percentiles
+    from fareloom.session import shared_dir
+    shared = pathlib.Path(shared_dir(spark)) / "fareloom"
+    before = set(shared.iterdir()) if shared.exists() else set()
+    write_month(tmp_path, "2019-10", green_line())
+    for _ in range(2):
+        ingest.ingest_months(spark, str(tmp_path), "green", ["2019-10"], str(tmp_path / "table"))
+    df = spark.range(9).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    assert percentiles.percentiles_over(df, ["k"], "v", [0.5], ["p"]).count() == 9
+    for n in (1, 2, 3):
+        assert sinks.materialize(spark, "left_behind", lambda: spark.range(n)).count() == n
+    after = set(shared.iterdir()) - before
+    assert len(after) == 1 and after.pop().name.startswith("left_behind")
+    spark.sql("DROP TABLE left_behind")
+
+
 def test_versions_are_readable_until_replaced(spark, rows):
     root = fresh_dir(spark, "versions")
     assert sinks.read_latest(spark, root) is None
@@ -293,6 +413,7 @@ def test_versions_are_readable_until_replaced(spark, rows):
     marker.write_text("x")
     assert sinks.latest_version(spark, root) == 3
     marker.unlink()
+    (pathlib.Path(root) / "v=tmp").mkdir()
     assert sinks.latest_version(spark, root) == 2
 
 

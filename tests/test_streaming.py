@@ -1,12 +1,13 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_DIR
 from fareloom import streaming as st
 from fareloom.operators.sessions import session_counts
 from fareloom.session import fresh_dir
-from fareloom.sinks import write_parquet
+from fareloom.sinks import KeyedTable, write_parquet
 from fareloom.sources import stream_files
 
 BASE = dt.datetime(2024, 1, 1)
@@ -54,13 +55,47 @@ def test_sessions_go_on_over_batches_and_open_ones_wait(spark):
 
 def test_rows_behind_the_watermark_are_dropped_and_counted(spark):
     feed = Feed(spark, sessions, merge_first=False)
-    assert st.late_rows(feed.send(events(spark, (1, 10_000)))) == 0
-    query = feed.send(events(spark, (1, 100), (2, 200), (1, 9_996)))
-    assert st.late_rows(query) == 2
-    feed.send(events(spark, (9, 20_000)))
+    late = st.LateRows()
+    feed.session.streams.addListener(late)
+    try:
+        assert late.total(feed.send(events(spark, (1, 10_000)))) == 0
+        query = feed.send(events(spark, (1, 100), (2, 200), (1, 9_996)))
+        assert late.total(query) == 2
+        feed.send(events(spark, (9, 20_000)))
+    finally:
+        feed.session.streams.removeListener(late)
     assert feed.rows() == [(1, 9_996, 10_300, 2)]
 
 
+def test_late_rows_are_counted_beyond_the_retained_progress(spark):
+    data = events(spark, (1, 10_000))
+    inbox = fresh_dir(spark, "inbox")
+    session = st.stream_session(spark, merge_first=False)
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    write_parquet(data, f"{inbox}/0")
+    late = st.LateRows()
+    session.streams.addListener(late)
+    out, checkpoint = fresh_dir(spark, "out"), fresh_dir(spark, "checkpoint")
+
+    def run():
+        return st.replay(st.land(sessions(stream_files(session, f"{inbox}/*", data.schema, max_files=1)), out, checkpoint))
+    try:
+        run()
+        for i in range(1, 8):
+            write_parquet(events(spark, (1, i)).coalesce(1), f"{inbox}/{i}")
+        assert late.total(run()) == 7
+    finally:
+        session.streams.removeListener(late)
+
+
+def test_counts_of_a_column_leave_nulls_out(spark):
+    data = spark.createDataFrame([(1, None, BASE), (1, None, BASE), (2, 5, BASE), (3, 1, BASE + dt.timedelta(days=1))],
+                                 "k int, pulocationid int, t timestamp_ntz")
+    feed = Feed(spark, lambda s: st.session_stream(st.in_event_time(s, "t"), ["k"], "t", column="pulocationid"))
+    feed.send(data)
+    assert [(r[0], r[3]) for r in feed.rows()] == [(1, 0), (2, 1)]
+
+
 def test_stream_equals_batch_on_ordered_rows(spark):
     table = spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_type", "user_id", "ts")
     session = st.stream_session(spark)
@@ -87,11 +122,31 @@ def test_hours_are_let_out_when_they_are_over(spark):
 
 
 def test_a_repeated_batch_replaces_itself(spark, rows):
-    path = fresh_dir(spark, "keyed")
-    sink = st.session_sink(path)
-    first, second = spark.range(3), spark.range(10, 12)
-    sink(first, 0), sink(second, 1), sink(first, 0)
-    assert rows(st.read_sessions(spark, path)) == [(0,), (1,), (10,), (11,), (2,)]
+    schema = T.StructType().add("k", "long").add("session_start", "long").add("num_trips", "long")
+    table = KeyedTable(fresh_dir(spark, "keyed"), schema, ["k", "session_start"], 4)
+    sink = st.session_sink(table, ["num_trips"])
+
+    def batch(*found):
+        return spark.createDataFrame(found, schema)
+    first, second = batch((1, 0, 3), (2, 0, 1)), batch((1, 9, 4))
+    sink(first, 0), sink(second, 1), sink(first, 0), sink(batch(), 2)
+    assert rows(table.read(spark)) == [(1, 0, 3), (1, 9, 4), (2, 0, 1)]
+
+
+def test_the_end_of_a_replay_lets_everything_out(spark):
+    data = events(spark, (1, 0), (1, 100), (2, 50))
+    session, inbox, end = st.stream_session(spark), fresh_dir(spark, "inbox"), fresh_dir(spark, "end")
+    out, checkpoint = fresh_dir(spark, "out"), fresh_dir(spark, "checkpoint")
+    write_parquet(data, f"{inbox}/1")
+
+    def run():
+        stream = st.with_end(stream_files(session, f"{inbox}/*", data.schema), session, end)
+        st.replay(st.land(sessions(stream), out, checkpoint))
+    run()
+    assert spark.read.parquet(out).count() == 0
+    st.end_replay(spark, end, data.schema, "t", BASE + dt.timedelta(days=1))
+    run()
+    assert sorted((r.k, r.num_trips) for r in spark.read.parquet(out).collect()) == [(1, 2), (2, 1)]
 
 
 def test_landing_takes_each_row_once(spark):
