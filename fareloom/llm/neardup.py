@@ -24,7 +24,7 @@ from .common import components, discard, land
 from .fingerprints import simhash_column
 
 MAX_BITS = 4
-#: Up to so many fingerprints of one grid point are compared pair by pair inside the row that holds them.
+#: Up to so many fingerprints of one grid point are compared with each other.
 CROWD = 64
 
 _LOW = 0x5555555555555555
@@ -72,6 +72,29 @@ def grid_points(fps: DataFrame) -> DataFrame:
     return stepped.select(F.expr("((v & m.mask) ^ shiftleft(old ^ (old + m.step), m.at)) | m.mark").alias("point"), "fp")
 
 
+def _lowest_segment(x: Column) -> Column:
+    marked = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_LOW))
+    return marked.bitwiseAND(-marked)
+
+
+def _linked_here(point: Column, x: Column, y: Column, max_bits: int) -> Column:
+    """Whether two fingerprints that meet at ``point`` are linked, and this is the one point that says so: in
+    the first pair of groups in which they are two steps apart or fewer, at the point of ``x``, or one step
+    from it in the lowest segment in which they differ."""
+    p, q = segment_popcounts(x), segment_popcounts(y)
+    told, earlier = F.lit(False), F.lit(True)
+    for left_out in _GROUPS:
+        mask = F.lit(_signed(sum(3 << 2 * s for s in range(32) if s not in left_out))).cast("long")
+        here = F.shiftrightunsigned(point, 2 * left_out[0]).bitwiseAND(F.lit(3)) == 3
+        own, apart = p.bitwiseAND(mask), manhattan(p.bitwiseAND(mask), q.bitwiseAND(mask))
+        moved, differ = own.bitwiseXOR(point.bitwiseAND(mask)), p.bitwiseXOR(q).bitwiseAND(mask)
+        first = F.when(apart < 2, moved == 0).otherwise(_lowest_segment(moved) == _lowest_segment(differ))
+        told = told | (here & earlier & first)
+        earlier = earlier & (apart > 2)
+    return ((x < y) & (manhattan(p, q) <= max_bits)  # the lower bound, and then the exact distance
+            & (F.bit_count(x.bitwiseXOR(y)) <= max_bits) & told)
+
+
 def _patterns(fps: DataFrame, bits: int) -> DataFrame:
     """(pattern, fp): all patterns within ``bits`` (0 to 2) bits of each fingerprint."""
     turned = F.col("fp")
@@ -90,13 +113,10 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError("max_bits must be 0, 2 or 4")
     met, path = land(grid_points(fps).withColumn("n", F.expr("count(1) over (partition by point)"))
                      .where("n > 1"), "grid-points")
-    x, y = F.col("x"), F.col("y")
-    pairs = (met.where(F.col("n") <= CROWD).groupBy("point").agg(F.collect_list("fp").alias("fps"))
-             .select("fps", F.explode("fps").alias("x"))
-             .select("x", F.explode(F.filter("fps", lambda other: other > x)).alias("y"))
-             .where(manhattan(segment_popcounts(x), segment_popcounts(y)) <= max_bits)  # the lower bound
-             .where(F.bit_count(x.bitwiseXOR(y)) <= max_bits)
-             .select(x.alias("a"), y.alias("b")))
+    few = met.where(F.col("n") <= CROWD)
+    x, y = few.select("point", F.col("fp").alias("x")), few.select("point", F.col("fp").alias("y"))
+    pairs = (x.join(y, "point").where(_linked_here(F.col("point"), F.col("x"), F.col("y"), max_bits))
+             .select(F.col("x").alias("a"), F.col("y").alias("b")))
     crowded = met.where(F.col("n") > CROWD).select("fp").distinct()
     stars = (_patterns(crowded, max_bits // 2).withColumn("b", F.expr("min(fp) over (partition by pattern)"))
              .where("fp != b").select(F.col("fp").alias("a"), "b"))
