@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
+from ..session import discard, fresh_dir
 
 #: Work on texts goes through slices of about this many bytes of an Arrow batch, whatever its rows weigh.
 SLICE_BYTES = 1 << 20
 
+__all__ = ["components", "discard", "land", "text_slices"]
+
 
 def land(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Writes a frame to the shared folder and reads it again: lineage ends there, and every later job
@@ -23,12 +25,6 @@ def land(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Removes a landed folder that no later job reads."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[bytes | None]]:
     """The rows of a string array as UTF-8 bytes, in lists of about ``limit`` bytes (one row at least)."""
     raw = texts.cast(pa.large_binary())

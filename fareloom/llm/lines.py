@@ -14,16 +14,21 @@ No pair of copies is ever made: each place meets one source.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import land
+from .common import discard, land
 
 LONG_LINE = 12
 REACH = 6
 #: A matched run of fewer words stays: short repeated phrases are ordinary text.
 MIN_WORDS = 25
-_PIECES = r"split({}, '(?<=\\n)|(?<=[.!?] )', -1)"
+#: Marks the end of a line for the fast split; texts that hold it themselves are split by pattern.
+_MARK = "\ue000"
+_PIECES = "if(contains({0}, '%s'), split({0}, '(?<=\\\\n)|(?<=[.!?] )', -1), split(%s, '%s', -1))" % (
+    _MARK, reduce(lambda text, end: f"replace({text}, '{end}', '{end}{_MARK}')", ["\\n", ". ", "! ", "? "], "{0}"), _MARK)
 
 
 def _line_table(docs: DataFrame) -> DataFrame:
@@ -39,20 +44,23 @@ def _fingerprints(lines: DataFrame) -> DataFrame:
     gram = (f"transform(h, (x, i) -> if(w[i] >= {LONG_LINE}, xxhash64(x), "
             f"if(i + 2 < size(h), xxhash64(x, get(h, i + 1), get(h, i + 2)), null)))")
     top = "9223372036854775807L"
-
-    def least(start: str) -> str:
-        return "least(" + ", ".join(f"coalesce(get(k, {start} + {n}), {top})" for n in range(3)) + ")"
-    chosen = (f"filter(transform(k, (x, i) -> if(x is not null and (w[i] >= {LONG_LINE} or x = {least('i')} "
-              f"or (i >= 1 and x = {least('(i - 1)')}) or (i >= 2 and x = {least('(i - 2)')})), "
+    least = "transform(k, (x, i) -> least(" + ", ".join(f"coalesce(get(k, i + {n}), {top})" for n in range(3)) + "))"
+    chosen = (f"filter(transform(k, (x, i) -> if(x is not null and (w[i] >= {LONG_LINE} or x = m[i] "
+              "or coalesce(x = get(m, i - 1), false) or coalesce(x = get(m, i - 2), false)), "
               "struct(i as p, x as g), null)), s -> s is not null)")
     return (lines.select("d", "t", "w", F.expr(gram).alias("k"))
+            .select("d", "t", "w", "k", F.expr(least).alias("m"))
             .select("d", "t", F.expr(f"inline({chosen})")))
 
 
-def _matched_lines(lines: DataFrame, grams: DataFrame) -> DataFrame:
+def _sources(grams: DataFrame) -> DataFrame:
+    """(g, s): the first place of every gram that occurs more than once."""
+    return (grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "p")).alias("s"))
+            .where("n > 1").select("g", "s"))
+
+
+def _matched_lines(lines: DataFrame, grams: DataFrame, sources: DataFrame) -> DataFrame:
     """(d, t, p, n): places of lines that repeat earlier ones, with their word counts."""
-    sources = (grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "p")).alias("s"))
-               .where("n > 1").select("g", "s"))
     later = grams.join(sources, "g").where("struct(d, t, p) != s")
     seeds = (later.groupBy("d", "t", F.col("s.d").alias("e"), F.col("s.t").alias("u"))
              .agg(F.collect_set(F.struct("p", F.col("s.p").alias("q"))).alias("seeds"),
@@ -63,19 +71,20 @@ def _matched_lines(lines: DataFrame, grams: DataFrame) -> DataFrame:
             .withColumn("own", F.slice("h", F.col("base") + 1, F.col("high") - F.col("base") + 3 + REACH))
             .withColumn("words", F.slice("w", F.col("base") + 1, F.col("high") - F.col("base") + 3 + REACH))
             .drop("h", "w"))
-    source = lines.select(F.col("d").alias("e"), F.col("t").alias("u"), F.col("h").alias("there"))
+    source = lines.select(F.col("d").alias("e"), F.col("t").alias("u"), F.col("h").alias("there"), F.col("w").alias("counts"))
 
     def run(step: str, first: str) -> str:
         """Equal lines in a row from ``first`` steps on, ``REACH`` at most."""
-        same = (f"coalesce(get(own, s.p - base {step} ({first} + j)) = get(there, s.q {step} ({first} + j)), false)")
+        here, there = f"s.p - base {step} ({first} + j)", f"s.q {step} ({first} + j)"
+        same = (f"coalesce(get(own, {here}) = get(there, {there}) and get(words, {here}) = get(counts, {there}), false)")
         ends = f"array_position(transform(sequence(0, {REACH - 1}), j -> {same}), false)"
         return f"if({ends} = 0, {REACH}, cast({ends} - 1 as int))"
     gram = f"if(get(words, s.p - base) >= {LONG_LINE}, 1, 3)"
     spans = (f"transform(seeds, s -> struct(s.p - base - {run('-', '1')} as a, "
              f"s.p - base + {gram} + {run('+', gram)} as b))")
     return (here.join(source, ["e", "u"])
-            .select("d", "t", "base", "words", F.explode(F.expr(spans)).alias("x"))
-            .select("d", "t", "base", "words", F.explode(F.expr("sequence(x.a, x.b - 1)")).alias("i"))
+            .select("d", "t", "base", "words", F.explode(F.expr(
+                f"array_distinct(flatten(transform({spans}, x -> sequence(x.a, x.b - 1))))")).alias("i"))
             .select("d", "t", (F.col("base") + F.col("i")).alias("p"), F.expr("words[i]").alias("n")).distinct())
 
 
@@ -106,9 +115,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for c in docs.columns if c.lower() not in outputs]
     text = F.col(text_col)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("d"),
-                       F.xxhash64(text).alias("t"), text.alias("text"), F.struct("*").alias("row"))
-    lines, _ = land(_line_table(rows.where("text != ''")), "lines")
-    runs = _runs(_matched_lines(lines.dropDuplicates(["d", "t"]), _fingerprints(lines)), min_words)
+                       F.xxhash64(text).alias("t"), text.alias("text"),
+                       F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
+    lines, lines_path = land(_line_table(rows.where("text != ''")), "lines")
+    # Landed, so that the join of the grams has plain shuffles on both sides, whose hot keys can be split.
+    sources, sources_path = land(_sources(_fingerprints(lines)), "line-sources")
+    matched = _matched_lines(lines.dropDuplicates(["d", "t"]), _fingerprints(lines), sources)
+    runs, _ = land(_runs(matched, min_words), "line-runs")
+    discard(docs.sparkSession, lines_path)
+    discard(docs.sparkSession, sources_path)
     pieces = _PIECES.format("text")
     before = "transform(runs, (r, i) -> struct(if(i = 0, 0, get(runs, i - 1).b) as a, r.a as b))"
     rest = f"concat({before}, array(struct(element_at(runs, -1).b as a, size(pieces) as b)))"
