@@ -5,12 +5,16 @@ writes down the word it stands on and moves on if bit j of that word's hash is s
 distance thus become sequences at a small Hamming distance. Each repetition draws a walk of its own and samples
 ``SAMPLED`` steps of it as a key; windows of texts and windows of items with equal keys are candidates.
 
-An item of L words is cut into windows of W words, W being a power of two of at most (2 L + 2) / 3, at every
-offset; texts are cut at every W / 2 words, so any occurrence of the item holds such a window of the text whole.
+An item of L words is cut into windows of W words, W being a power of two of at most (2 L + 2) / 3 and
+``MAX_WINDOW``, at every offset; texts are cut at every W / 2 words, so any occurrence of the item holds such a
+window of the text whole. Walks over long windows drift apart as edits add up, so windows do not grow with the
+item: a long item has more of them, some with few edits, and any one may nominate a candidate.
 Candidates that share enough words with the item (a bound that no true match fails) are verified by exact
-alignment of the whole item with the text around the candidate. Measured on the items of the test tables with
-random word edits, six repetitions of four samples find 0.99 of the passages with 10 % of their words edited and
-0.95 of those at the limit of 20 %; unchanged passages were all found.
+alignment of the whole item with the text around the candidate.
+
+The target is a recall of 0.95 for items of any length with a fifth of their words edited. Measured on random items of
+a skewed vocabulary (100 passages a length, 40 from 400 words on): 0.96 at 12 words, 0.97 at 23, 1.00 at 17, 22, 30, 37,
+46, 57, 100, 200, 400 and 1000 words; at 10 % edits and less 1.00 throughout.
 """
 
 from __future__ import annotations
@@ -28,7 +32,8 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 SAMPLED = 4
-REPETITIONS = 6
+REPETITIONS = 8
+MAX_WINDOW = 16
 #: Items are taken in blocks of about so many characters; the index of one block is broadcast.
 BLOCK_CHARS = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -45,7 +50,7 @@ def words_of(text: bytes) -> list[bytes]:
 def size_class(length: int) -> tuple[int, int]:
     """Window size and text stride for an item of so many words."""
     size = 1
-    while 2 * size + size - 1 <= length:
+    while size < MAX_WINDOW and 2 * size + size - 1 <= length:
         size *= 2
     return size, max(1, size // 2)
 
@@ -161,8 +166,9 @@ class ItemIndex:
         code[self.vocabulary[np.minimum(code, size - 1)] != flat] = size
         keep = np.zeros(len(found), bool)
         allowed = np.array(self.allowed)
-        for at in range(0, len(found), 4096):
-            text, item, place = found[at:at + 4096].T
+        many = max(1, min(4096, (1 << 20) // (int(self.lengths.max()) * 2)))
+        for at in range(0, len(found), many):
+            text, item, place = found[at:at + many].T
             slack, length = allowed[item], self.lengths[item]
             low = np.maximum(begins[text] + place - slack, begins[text])
             high = np.minimum(begins[text] + place + length + slack, begins[text + 1] - 1)
@@ -171,7 +177,7 @@ class ItemIndex:
             spot = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[who]
             pair = item[who] * (size + 1) + code[spot]
             hit = self.owned[np.minimum(np.searchsorted(self.owned, pair), len(self.owned) - 1)] == pair
-            keep[at:at + 4096] = np.bincount(who[hit], minlength=len(text)) >= length - slack
+            keep[at:at + many] = np.bincount(who[hit], minlength=len(text)) >= length - slack
         return found[keep]
 
     def candidates(self, flat: np.ndarray, begins: np.ndarray) -> np.ndarray:

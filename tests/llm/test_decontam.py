@@ -85,6 +85,21 @@ def test_blocks_of_items_give_the_same(spark, corpus, monkeypatch):
     assert sorted(r.doc_id for r in clean.collect()) == sorted({d for d, _ in docs} - {r[0] for r in one})
 
 
+@pytest.mark.parametrize("length, passages", [(23, 60), (57, 40), (100, 30), (400, 12), (1000, 6)])
+def test_recall_at_the_limit_does_not_fall_with_length(length, passages):
+    rng = random.Random(length)
+    vocabulary = ["".join(rng.choices("aeinorstlm", k=rng.randint(3, 9))) for _ in range(3000)]
+    weights = [1 / (i + 2) for i in range(len(vocabulary))]
+    found = 0
+    for i in range(passages):
+        item = rng.choices(vocabulary, weights, k=length)
+        index = decontam.ItemIndex([(i, " ".join(item))], 0.8, decontam.REPETITIONS, 7)
+        around = rng.choices(vocabulary, weights, k=80)
+        text = around[:i] + edited(rng, item, length // 5, vocabulary) + around[i:]
+        found += [leak[0] for leak in index.leaks([" ".join(text).encode()], decontam.Hashes())[0]] == [i]
+    assert found >= 0.95 * passages
+
+
 def test_alignment():
     assert decontam.align(list("abcd"), list("xxabcdyy")) == (0, 2, 6)
     assert decontam.align(list("abcd"), list("xxabdyy")) == (1, 2, 5)
