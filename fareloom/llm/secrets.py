@@ -1,7 +1,8 @@
 """Secret scans: broad candidates, and a random forest that removes the false ones. DataFrame functions only.
 
-A candidate is a run of ``MIN_LENGTH`` or more letters, digits and ``+/_=-`` with at least one digit, inside a word of
-the text. The forest sees its length, the shares of kinds of characters, how often neighbouring characters change
+A candidate is a run of ``MIN_LENGTH`` or more letters, digits and ``+/_=-`` inside a word of the text; a word may have
+many, as in code and JSON without blanks. A run has a digit, or else capitals behind small letters, a value assigned in
+or to it, or a word of ``KEYWORDS`` ahead of it: plain long words of a text are none. The forest sees its length, the shares of kinds of characters, how often neighbouring characters change
 kind, how much of it the corpus's frequent words cover, the path of the document and the words around it. It is
 trained on labelled findings, of which the bounded sample below is taken; everything else covers all rows.
 """
@@ -23,6 +24,7 @@ MIN_LENGTH = 12
 MAX_TRAINING_ROWS = 20_000
 DICTIONARY_WORDS = 400
 _RUN = "[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH
+_ASSIGNED = "[=:]['\"` ]*$"
 # Words that name secrets, and words of paths that hold made-up ones.
 KEYWORDS = ["apikey", "auth", "bearer", "credential", "key", "passphrase", "passwd", "password", "private", "pwd", "secret", "token"]
 SAMPLE_PATHS = ["demo", "doc", "example", "fixture", "mock", "sample", "spec", "test"]
@@ -31,16 +33,27 @@ FEATURES = ["length", "digits", "capitals", "hex", "signs", "changes", "distinct
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """(doc_id, path, word, finding, whole, before, after, quoted): candidates with the number of their word, up to three
-    words before, one after and the whole word."""
+    """(doc_id, path, word, part, finding, before, prefix, after, quoted): candidates with the number of their word and
+    their number among the runs of that word, from 0. ``before``: up to three words before, for the first run of a word
+    only; ``prefix``: the text of the same word ahead of the run, from the end of the run before the last one on, in small
+    letters; ``after``: one word after, for the last run only. So a word of many runs costs as much as its length."""
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     words = docs.select(F.col(id_col).alias("doc_id"), path.alias("path"), F.split(text_col, r"\s+").alias("words"))
-    hits = F.expr(f"""filter(transform(words, (x, i) -> if(length(x) >= {MIN_LENGTH} and x rlike '[0-9]',
-        struct(i as word, regexp_extract(x, '{_RUN}', 0) as finding, x as whole,
-               lower(array_join(slice(words, greatest(i - 2, 1), least(i, 3)), ' ')) as before,
-               lower(coalesce(get(words, i + 1), '')) as after), null)), h -> h.finding rlike '[0-9]')""")
-    return (words.select("doc_id", "path", F.inline(hits))
-            .withColumn("quoted", F.expr("whole rlike '[\"\\'`]'")))
+    long = F.expr(f"""filter(transform(words, (x, i) -> if(length(x) >= {MIN_LENGTH}, struct(i as word, x as whole,
+        lower(array_join(slice(words, greatest(i - 2, 1), least(i, 3)), ' ')) as ahead,
+        lower(coalesce(get(words, i + 1), '')) as behind), null)), h -> h is not null)""")
+    runs = (words.select("doc_id", "path", F.inline(long))
+            .select("doc_id", "path", "word", "ahead", "behind", F.expr(f"regexp_extract_all(whole, '{_RUN}', 0)").alias("runs"),
+                    F.split("whole", _RUN, -1).alias("gaps")))
+    parts = F.expr("""transform(runs, (x, k) -> struct(k as part, x as finding, if(k = 0, ahead, '') as before,
+        lower(concat(coalesce(get(gaps, k - 1), ''), coalesce(get(runs, k - 1), ''), gaps[k])) as prefix,
+        if(k = size(runs) - 1, behind, '') as after, concat(gaps[k], gaps[k + 1]) rlike '["\\'`]' as quoted))""")
+    around = F.concat_ws(" ", "before", "prefix")
+    plain = F.col("finding").rlike("[A-Za-z]") & (
+        F.col("finding").rlike("[a-z][A-Z]|=[^=]") | F.rtrim(around).rlike(_ASSIGNED)
+        | reduce(lambda a, b: a | b, [around.contains(k) for k in KEYWORDS]))
+    return (runs.select("doc_id", "path", "word", F.inline(parts))
+            .where(F.col("finding").rlike("[0-9]") | plain))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> DataFrame:
@@ -59,8 +72,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         return F.regexp_count(text, F.lit(pattern)) / length
     listed = F.array(*map(F.lit, words)) if words else F.expr("cast(array() as array<string>)")
     rest = F.aggregate(listed, F.lower(text), lambda left, w: F.replace(left, w, F.lit("")))
-    prefix = F.expr("lower(substr(whole, 1, instr(whole, finding) - 1))")
-    around = F.concat_ws(" ", "before", prefix)
+    around = F.concat_ws(" ", "before", "prefix")
     folders = F.coalesce(F.lower("path"), F.lit(""))
     named = reduce(lambda a, b: a | b, [around.contains(k) for k in KEYWORDS])
     sample = reduce(lambda a, b: a | b, [folders.contains(k) for k in SAMPLE_PATHS])
@@ -70,7 +82,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         "changes": F.regexp_count(text, F.lit("(?<=[A-Za-z])(?=[^A-Za-z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])")) / length,
         "distinct": F.size(F.array_distinct(F.split(text, ""))) / length,
         "covered": 1 - F.length(rest) / length, "quoted": F.col("quoted"),
-        "assigned": F.rtrim(around).rlike("[=:]['\"` ]*$"), "named": named,
+        "assigned": F.rtrim(around).rlike(_ASSIGNED), "named": named,
         "word_before": F.array_contains(listed, F.element_at(F.split("before", " "), -1)),
         "path_depth": F.length(folders) - F.length(F.replace(folders, F.lit("/"), F.lit(""))), "path_sample": sample}
     return found.withColumns({n: F.coalesce(values[n].cast("double"), F.lit(0.0)) for n in FEATURES})
@@ -93,13 +105,13 @@ def train(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS, trees: int = 2
 
 def find_secrets(docs: DataFrame, labels, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None,
                  threshold: float = 0.5, **training) -> DataFrame:
-    """One row per candidate: ``doc_id``, ``word`` (number of its word, from 0), ``finding``, ``score`` (probability of a
-    secret) and ``secret`` (whether it stays a finding).
+    """One row per candidate: ``doc_id``, ``word`` (number of its word, from 0), ``part`` (number among the runs of that
+    word, from 0), ``finding``, ``score`` (probability of a secret) and ``secret`` (whether it stays a finding).
 
-    ``labels``: a frame of labelled findings (``doc_id``, ``word``, ``label``) or a condition over the columns of
-    ``candidates`` that gives the label. Repeated labels of a finding count as their largest, null ones not at all.
+    ``labels``: a frame of labelled findings (``doc_id``, ``word``, ``part``, ``label``; without ``part`` they are those of
+    part 0) or a condition over the columns of ``candidates`` that gives the label. Repeated labels of a finding count as their largest, null ones not at all.
     With labels of one kind only, nothing is removed: every candidate has score 1. Null and empty texts have no
-    candidate; long texts are scanned whole; a word gives its first candidate; repeated rows are reported as often as
+    candidate; long texts are scanned whole; a word gives all its candidates; repeated rows are reported as often as
     they occur; null ids and paths are allowed; other columns are not read. Empty tables give an empty result.
     """
     words = dictionary(docs, text_col).first().dictionary or []
@@ -108,12 +120,13 @@ def find_secrets(docs: DataFrame, labels, id_col: str = "doc_id", text_col: str
     if isinstance(labels, Column):
         labelled = described.withColumn("label", labels.cast("int"))
     else:
-        known = labels.groupBy("doc_id", "word").agg(F.max("label").alias("label"))
-        labelled = described.join(known, ["doc_id", "word"])
+        part = F.col("part") if "part" in labels.columns else F.lit(0).alias("part")
+        known = labels.groupBy("doc_id", "word", part).agg(F.max("label").alias("label"))
+        labelled = described.join(known, ["doc_id", "word", "part"])
     model = train(labelled, **training)
     if model is None:
         scored = described.withColumn("score", F.lit(1.0))
     else:
         scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described))
         scored = scored.withColumn("score", vector_to_array("probability")[1])
-    return scored.select("doc_id", "word", "finding", "score", (F.col("score") >= threshold).alias("secret"))
+    return scored.select("doc_id", "word", "part", "finding", "score", (F.col("score") >= threshold).alias("secret"))

@@ -56,6 +56,25 @@ def test_features_against_plain_python(spark):
     assert (other.word, other.covered, other.word_before, other.quoted, other.assigned) == (5, 4 / 18, 1, 0, 0)
 
 
+def test_every_run_of_a_word_is_a_candidate(spark):
+    many = "{" + ",".join(f'"k{i}":"{i:016x}"' for i in range(2000)) + "}"
+    texts = ['{"client_secret":"9f86d081884c7d659a2feaa0c55ad015"}', '"authorization":"Bearer0123456789abcdef"',
+             '{"id":"a1b2c3d4e5f60718","token":"24be64a1b2c3d4e5"}', 'password="correcthorsebattery"',
+             'password = "correcthorsebattery"', "an internationalization ------------ key: ============", many]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.candidates(docs)
+    got = sorted((r.doc_id, r.word, r.part, r.finding) for r in found.where("doc_id < 6").collect())
+    assert got == [(0, 0, 1, "9f86d081884c7d659a2feaa0c55ad015"), (1, 0, 1, "Bearer0123456789abcdef"),
+                   (2, 0, 0, "a1b2c3d4e5f60718"), (2, 0, 1, "24be64a1b2c3d4e5"), (3, 0, 0, "correcthorsebattery"),
+                   (4, 2, 0, "correcthorsebattery")]
+    assert sorted(r.finding for r in found.where("doc_id = 6").collect()) == sorted(f"{i:016x}" for i in range(2000))
+    seen = {(r.doc_id, r.part): (r.named, r.assigned, r.quoted) for r in secrets.with_features(found, []).where("doc_id < 3").collect()}
+    assert seen == {(0, 1): (1, 1, 1), (1, 1): (1, 1, 1), (2, 0): (0, 1, 1), (2, 1): (1, 1, 1)}
+    labels = spark.createDataFrame([(2, 0, 0, 0), (2, 0, 1, 1)], "doc_id long, word int, part int, label int")
+    out = secrets.find_secrets(docs, labels).where("doc_id = 2").collect()
+    assert {(r.part, r.finding) for r in out} == {(0, "a1b2c3d4e5f60718"), (1, "24be64a1b2c3d4e5")}
+
+
 def test_odd_rows(spark):
     long = "w " * 100_000 + "0123456789abcdef"
     rows = [(None, 'key: "0123456789abcdef"', 1), (1, None, 1), (1, "", 1), (2, "   ", 1), (3, "0123456789abcdef", None),
