@@ -1,7 +1,8 @@
 """License scans: winnowed template fingerprints in an inverted index, then banded alignment.
 
 A template's fingerprints are the least hashes of three words in every window of two, so a run of four words
-shared with a text always has one. Every three words of a text are looked up. Hits of one template whose
+shared with a text always has one. Every three words of a text are looked up. A template so short that the words it
+may lack can break every run of four has all its pairs of words as fingerprints, which are looked up likewise. Hits of one template whose
 diagonals (place in the text less place in the template) lie within the template's band are one candidate, which
 a Smith-Waterman alignment inside the band turns into matched words and spans.
 """
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 GRAM, WINDOW = 3, 2
+#: Words of a fingerprint of short templates.
+PAIR = 2
 #: Templates of more words together are refused: their index is broadcast.
 MAX_TEMPLATE_WORDS = 2_000_000
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -68,14 +71,14 @@ def _words(text: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
     return [m.group() for m in found], [m.span() for m in found]
 
 
-def _grams(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+def _grams(words: list[bytes], known: dict[bytes, int], size: int = GRAM) -> np.ndarray:
     if len(known) > _KNOWN:
         known.clear()
     for w in set(words).difference(known):
         known[w] = xxhash.xxh64_intdigest(w, 3)
     h = np.array([known[w] for w in words], np.uint64)
-    out = np.zeros(max(0, len(h) - GRAM + 1), np.uint64)
-    for k in range(GRAM):
+    out = np.zeros(max(0, len(h) - size + 1), np.uint64)
+    for k in range(size):
         out = (out ^ h[k:k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
     return out
 
@@ -115,32 +118,41 @@ def align(template: list[bytes], text: list[bytes], low: int, high: int) -> tupl
 class TemplateIndex:
     """The inverted index: sorted fingerprints with template and place."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], coverage: float = 0.8):
         self.names = sorted(templates)
         self.words = [_words(templates[n].encode())[0] for n in self.names]
         if sum(map(len, self.words)) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"the templates hold more than {MAX_TEMPLATE_WORDS} words")
-        entries = []
+        entries: dict[int, list[tuple[int, int, int]]] = {GRAM: [], PAIR: []}
         for t, words in enumerate(self.words):
-            grams = _grams(words, {})
-            entries += [(int(grams[p]), t, p) for p in winnow(grams)]
-        entries.sort()
-        self.keys = np.array([e[0] for e in entries], np.uint64)
-        self.template, self.place = (np.array([e[k] for e in entries], np.int64) for k in (1, 2))
+            lacking = int((1 - coverage) * len(words) + 1e-9)
+            if len(words) >= GRAM and len(words) - lacking <= (GRAM + WINDOW - 2) * (lacking + 1):
+                entries[PAIR] += [(int(g), t, p) for p, g in enumerate(_grams(words, {}, PAIR))]
+            else:
+                grams = _grams(words, {})
+                entries[GRAM] += [(int(grams[p]), t, p) for p in winnow(grams)]
+        #: By the size of the grams: sorted fingerprints, templates, places.
+        self.tables = {}
+        for size, rows in entries.items():
+            rows.sort()
+            self.tables[size] = (np.array([e[0] for e in rows], np.uint64),
+                                 *(np.array([e[k] for e in rows], np.int64) for k in (1, 2)))
+        self.sets = [frozenset(w) for w in self.words]
 
     def band(self, t: int) -> int:
         return max(1, len(self.words[t]) // 5)
 
-    def candidates(self, grams: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    def candidates(self, grams: np.ndarray, size: int = GRAM) -> Iterator[tuple[int, int, int]]:
         """(template, least diagonal, largest diagonal) of hits that lie together."""
-        low = np.searchsorted(self.keys, grams, "left")
-        hit = np.flatnonzero((low < len(self.keys)) & (self.keys[np.minimum(low, len(self.keys) - 1)] == grams)) \
-            if len(self.keys) else np.zeros(0, np.int64)
+        keys, templates, places = self.tables[size]
+        low = np.searchsorted(keys, grams, "left")
+        hit = np.flatnonzero((low < len(keys)) & (keys[np.minimum(low, len(keys) - 1)] == grams)) \
+            if len(keys) else np.zeros(0, np.int64)
         if not len(hit):
             return
-        many = np.searchsorted(self.keys, grams[hit], "right") - low[hit]
+        many = np.searchsorted(keys, grams[hit], "right") - low[hit]
         entry = np.repeat(low[hit] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        template, diagonal = self.template[entry], np.repeat(hit, many) - self.place[entry]
+        template, diagonal = templates[entry], np.repeat(hit, many) - places[entry]
         order = np.lexsort((diagonal, template))
         held = None
         for t, d in zip(template[order].tolist(), diagonal[order].tolist()):
@@ -156,13 +168,16 @@ class TemplateIndex:
         """Matches, the best first taking the places it covers: (template, coverage, words, spans)."""
         words, spans = _words(text)
         found = []
-        for t, low, high in self.candidates(_grams(words, known)):
-            template, band = self.words[t], self.band(t)
-            start = max(0, low - band)
-            near = words[start:high + len(template) + band]
-            matched, score, first, end = align(template, near, low - band - start, high + band - start)
-            if matched >= coverage * len(template):
-                found.append((-score, -matched / len(template), start + first, start + end, matched, t))
+        for size in self.tables:
+            for t, low, high in self.candidates(_grams(words, known, size), size):
+                template, band = self.words[t], self.band(t)
+                start = max(0, low - band)
+                near = words[start:high + len(template) + band]
+                if sum(map(self.sets[t].__contains__, near)) < coverage * len(template):
+                    continue
+                matched, score, first, end = align(template, near, low - band - start, high + band - start)
+                if matched >= coverage * len(template):
+                    found.append((-score, -matched / len(template), start + first, start + end, matched, t))
         taken, out = [], []
         for score, share, first, end, matched, t in sorted(found):
             if all(end <= a or b <= first for a, b in taken):
@@ -177,11 +192,12 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     in order), ``matched_words``, ``first_word`` and ``end_word``, ``first_byte`` and ``end_byte`` in the text.
 
     Of matches that overlap, the one with the highest alignment score stays, among equals the one with the higher
-    coverage, then the first by place and name. Templates of fewer than three words have no fingerprint and match nothing. Null and
+    coverage, then the first by place and name. Templates of fewer than three words have no fingerprint and match nothing. Where lacking words and inserted
+    ones together leave no run of four words of a longer template, its fingerprints can miss the match. Null and
     empty texts match nothing; long texts are scanned whole; repeated rows and null ids are reported as they are;
     other columns are not read; an empty table gives an empty result.
     """
-    index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(TEMPLATES if templates is None else templates))
+    index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(TEMPLATES if templates is None else templates, coverage))
     fields = [("template", pa.string()), ("coverage", pa.float64()), ("matched_words", pa.int32()),
               ("first_word", pa.int32()), ("end_word", pa.int32()), ("first_byte", pa.int64()), ("end_byte", pa.int64())]
 

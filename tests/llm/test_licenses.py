@@ -77,3 +77,20 @@ def test_odd_rows(spark):
     assert licenses.find_licenses(docs.limit(0)).collect() == []
     assert licenses.find_licenses(docs, {}).collect() == []
     assert licenses.find_licenses(docs, {"two": "MIT License", "none": ""}).collect() == []
+
+
+def test_every_one_edit_variant_of_short_notices_is_found():
+    index, known = licenses.TemplateIndex(licenses.TEMPLATES), {}
+    for name, notice in licenses.TEMPLATES.items():
+        words = licenses._words(notice.encode())[0]
+        if not 5 <= len(words) <= 15:
+            continue
+        for at in range(len(words)):
+            for put in ([], [b"zzz"], [words[at], b"zzz"]):
+                text = b"some text " + b" ".join(words[:at] + put + words[at + 1:]) + b" and more"
+                plain = licenses.align(words, licenses._words(text)[0], -99, 99)
+                assert plain[0] >= 0.8 * len(words)
+                # Another notice may fit the variant better (version 2 and 3, BY and BY-SA).
+                assert any(name == n or m[2] >= plain[0] for m in index.find(text, 0.8, known) for n in m[:1]), (name, text)
+    for text in (b"Released under MIT License", b"Released under an MIT License"):
+        assert [m[0] for m in index.find(text, 0.8, known)] == ["MIT"]
