@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.mapping import table
-from . import bpe, decontam, licenses, lines, neardup, quality, secrets, sharding, topk, urls
+from . import bpe, conversations, decontam, licenses, lines, neardup, quality, secrets, sharding, topk, urls
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -109,3 +109,54 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     reviewed = F.col("before").rlike(r"\b(token|secret|password|api_?key) ?[=:]$") & (F.length("finding") >= 20)
     return secrets.find_secrets(docs, reviewed, path_col="source")
+
+
+def _head_length(conv_id):
+    return F.crc32(conv_id.cast("string")) % 9
+
+
+@query("op11_conversation_prefix_trie", """
+    WITH t AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+                   string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+               lambda a, b: xor(xor(a, b) >> 1, 3988292384::BIGINT * (xor(a, b) & 1))), 4294967295::BIGINT) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM t)),
+    rebuilt AS (
+        SELECT i.conv_id, 0 AS own, b.pos, b.role, b.text FROM ids i JOIN t b ON b.conv_id = i.base AND b.pos <= i.h
+        UNION ALL
+        SELECT i.conv_id, 1, t.pos, t.role, t.text FROM ids i JOIN t ON t.conv_id = i.conv_id AND t.pos > i.h),
+    paths AS (
+        SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS size,
+               string_agg(sha256(length(role)::VARCHAR || ':' || role || text), '') OVER w AS path
+        FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos ROWS UNBOUNDED PRECEDING)
+        UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+    nodes AS (
+        SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved
+        FROM paths GROUP BY depth, path),
+    kids AS (SELECT depth - 1 AS depth, left(path, 64 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+    full_nodes AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (depth, path)),
+    above AS (SELECT left(path, 64 * up) AS path, up AS depth, n_children, saved
+              FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM full_nodes)),
+    totals AS (SELECT depth, path, count_if(n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1, 2),
+    ends AS (SELECT depth, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+             FROM (SELECT conv_id, max(depth) AS depth, arg_max(path, depth) AS path FROM paths GROUP BY 1) GROUP BY 1, 2)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+           n.n_children::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens,
+           sha256(coalesce(e.ids, '')) AS ends_sha256
+    FROM full_nodes n JOIN totals t USING (depth, path) LEFT JOIN ends e USING (depth, path)
+    LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = left(n.path, 64 * (n.depth - 1))""")
+def op11(spark, sf_dir):
+    """Every conversation is rebuilt from the head of the first of its five and its own rest; then the trie of all."""
+    placed = conversations.place_turns(table(spark, sf_dir, "conversations"))
+    members = placed.select("conv_id").distinct()
+    own = placed.where(F.col("place") > _head_length(F.col("conv_id"))).withColumn("place", F.col("place") + 8)
+    # A head has 8 turns at most and goes to 9 conversations at most.
+    heirs = F.filter(F.transform(F.sequence(F.lit(-4).cast("long"), F.lit(4).cast("long")), lambda i: F.try_add("conv_id", i)),
+                     lambda c: c - c % 5 == F.col("conv_id"))
+    heads = (placed.where("place <= 8 and conv_id % 5 = 0").withColumn("conv_id", F.explode(heirs))
+             .where(F.col("place") <= _head_length(F.col("conv_id"))).join(members, "conv_id", "left_semi"))
+    return conversations.prefix_trie(heads.unionByName(own), members)
