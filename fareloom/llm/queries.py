@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.mapping import table
-from . import bpe, conversations, decontam, licenses, lines, neardup, quality, secrets, sharding, topk, urls
+from . import bpe, conversations, decontam, licenses, lines, neardup, negatives, quality, secrets, sharding, topk, urls
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -160,3 +160,31 @@ def op11(spark, sf_dir):
     heads = (placed.where("place <= 8 and conv_id % 5 = 0").withColumn("conv_id", F.explode(heirs))
              .where(F.col("place") <= _head_length(F.col("conv_id"))).join(members, "conv_id", "left_semi"))
     return conversations.prefix_trie(heads.unionByName(own), members)
+
+
+@query("op12_hard_negatives", """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, o.vec_id AS vec_id, a.label = o.label AS same,
+               CAST(list_dot_product(a.e, o.e) AS BIGINT) AS score
+        FROM v a JOIN v o ON a.vec_id <> o.vec_id AND len(a.e) = len(o.e)
+        WHERE a.vec_id % 50 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    ranked AS (
+        SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3""")
+def op12(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return negatives.hard_negatives(rows, vec_id % 50 == 0)
