@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..catalog.mapping import table
-from . import bpe, conversations, decontam, licenses, lines, neardup, negatives, quality, secrets, sharding, topk, urls
+from . import bpe, conversations, decontam, licenses, lines, neardup, negatives, quality, secrets, sharding, signatures, topk, urls
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -188,3 +188,8 @@ def op12(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
     return negatives.hard_negatives(rows, vec_id % 50 == 0)
+
+
+@query("op13_document_fingerprints")
+def op13(spark, sf_dir):
+    return signatures.fingerprint_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
