@@ -1,9 +1,13 @@
-"""Exact continuous percentiles that never hold a group in one task.
+"""Exact continuous percentiles that never hold a large group in one task.
 
-Spark's own ``percentile`` keeps every distinct value of a group in one buffer, which a hot group with
-many values outgrows. Here a group is first counted by value, then by slot of neighbouring values. The
-slot totals tell which slots hold the wanted ranks; those are counted by finer slots in the same way, and
-only the values of the fine slots found (at most 2 ** 19 each) are ordered.
+Spark's own ``percentile`` keeps every distinct value of a group in one buffer. That is right for groups of up to
+``DIRECT`` values, and wrong for a hot one. The wanted ranks of a larger group are bracketed first:
+
+1. a mergeable quantile sketch of the group gives a value surely below and one surely above each rank;
+2. one pass counts the values below each bracket and, by value, those inside it, a few thousandths of the group;
+3. the values inside are ordered by a range shuffle, so that they too may be many, and the counts tell which is wanted.
+
+A bracket that turns out not to hold its rank (the sketch promises only so much) is widened and counted again.
 """
 
 from __future__ import annotations
@@ -13,88 +17,109 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_COARSE, _FINE = 13, 20  # bits of the mantissa; 19 are left, so a fine slot has at most 2 ** 19 values
-
+from ..session import discard, fresh_dir
 
-def _slots(value: Column) -> tuple[Column, Column]:
-    """A coarse and a fine slot; together they never fall when the value rises, whatever its size.
-
-    A double is sign, exponent and 52 bits of mantissa. The coarse slot holds sign, exponent and the first
-    ``_COARSE`` bits, the fine one the next ``_FINE``: wide values and values that differ in their last digits
-    alone are spread alike. Neither is ever null: a nullable key would put a null filter into one of the two
-    uses of the counts, and Spark would then count twice.
-    """
-    size = F.abs(value)
-    plain = (size > 0) & (size < F.lit(float("inf")))
-    guess = F.floor(F.log2(size))
-    guess = F.when(size < F.pow(F.lit(2.0), guess), guess - 1).when(
-        size >= F.pow(F.lit(2.0), guess + 1), guess + 1).otherwise(guess)
-    # Halved twice, because 2 ** 1024 and, for the smallest numbers, 2 ** 1074 have no double.
-    half = F.floor(guess / 2)
-    mantissa = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), guess - half) - 1
-    scaled = mantissa * (1 << _COARSE)
-    coarse = F.signum(value) * ((guess + 1100) * (1 << _COARSE) + F.floor(scaled))
-    fine = F.signum(value) * F.floor((scaled - F.floor(scaled)) * (1 << _FINE))
-    ends = F.when(F.isnan(value), F.lit(float("inf"))).when(size > 0, F.signum(value) * 1e300).otherwise(0.0)
-    return (F.coalesce(F.when(plain, coarse.cast("double")).otherwise(ends), F.lit(0.0)),
-            F.coalesce(F.when(plain, fine.cast("double")), F.lit(0.0)))
+#: Groups of up to so many values are left to Spark's own percentile.
+DIRECT = 1 << 14
+#: One over the relative rank error of the sketch.
+ACCURACY = 2000
+#: How far from a wanted rank, in errors of the sketch, its bracket ends.
+MARGIN = 2
 
 
 def _label(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
 
-def _counted(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
-    """Non-null values by key struct ``g``, slot and value.
+def _stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
-    The keys are one struct because its equality also holds between nulls.
-    """
-    slot, fine = _slots(F.col("v"))
-    return (
-        df.select(F.struct(*keys).alias("g"), value.cast("double").alias("v"))
-        .withColumns({"slot": slot, "fine": fine})
-        .groupBy("g", "slot", "fine", "v").agg(F.count("v").alias("c"))
-    )
-
-
-def _narrowed(counts: DataFrame, within: DataFrame | None, ranks: Sequence[str]) -> DataFrame:
-    """The slots that hold a wanted rank, with the number of values ``before`` them in their group and its
-    size ``n``: coarse slots of whole groups, or the fine slots of the coarse ones in ``within``."""
-    if within is None:
-        keys, rows = ["g", "slot"], counts.groupBy("g", "slot").agg(F.sum("c").alias("m"))
-        whole, part = Window.partitionBy("g"), Window.partitionBy("g").orderBy("slot")
-        placed = rows.select(*keys, "m", F.sum("m").over(part).alias("upto"), F.sum("m").over(whole).alias("n"))
-    else:
-        keys = ["g", "slot", "fine"]
-        rows = counts.join(within, ["g", "slot"]).groupBy(*keys).agg(
-            F.sum("c").alias("m"), F.first("before").alias("start"), F.first("n").alias("n"))
-        part = Window.partitionBy("g", "slot").orderBy("fine")
-        placed = rows.select(*keys, "m", (F.col("start") + F.sum("m").over(part)).alias("upto"), "n")
-    wanted = " OR ".join(["n = 0", *[f"{rank} BETWEEN upto - m AND upto - 1" for rank in ranks]])
-    return placed.where(wanted).selectExpr(*keys, "upto - m AS before", "n")
 
-
-def _grouped(counts: DataFrame, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+def _brackets(rows: DataFrame, probs: Sequence[float], margin: float) -> DataFrame:
+    """Per group ``lo`` and ``hi``, arrays with a bracket for each probability; null: no bound on that side."""
+    ends = [(p - margin, p + margin) for p in probs]
+    asked = sorted({e for pair in ends for e in pair if 0 < e < 1})
+    if asked:
+        found = rows.groupBy("g").agg(F.percentile_approx("v", asked, ACCURACY).alias("q"))
+    else:
+        found = rows.select("g").distinct().withColumn("q", F.lit(None).cast("array<double>"))
+
+    def end(e: float) -> Column:
+        return F.get("q", F.lit(asked.index(e))) if 0 < e < 1 else F.lit(None).cast("double")
+    return found.select("g", F.array(*[end(a) for a, _ in ends]).alias("lo"), F.array(*[end(b) for _, b in ends]).alias("hi"))
+
+
+def _inside(rows: DataFrame, brackets: DataFrame, places: range) -> tuple[DataFrame, DataFrame]:
+    """The values below each bracket, counted (arrays ``below``), and those inside, counted by value."""
+    met = rows.join(brackets, "g")
+    below = met.groupBy("g").agg(F.array(*[F.count_if(F.col("v") < F.col("lo")[i]) for i in places]).alias("below"))
+    held = F.array(*[F.coalesce((F.col("lo")[i].isNull() | (F.col("v") >= F.col("lo")[i]))
+                                & (F.col("hi")[i].isNull() | (F.col("v") <= F.col("hi")[i])), F.lit(False)) for i in places])
+    held = F.filter(F.transform(held, lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
+    return below, met.select("g", "v", F.explode(held).alias("i")).groupBy("g", "i", "v").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _bracketed(rows: DataFrame, sizes: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``g`` and ``p`` (array of percentiles) of the groups in ``sizes`` (``g``, ``n``: their values), by brackets."""
+    spark, margin, places = rows.sparkSession, MARGIN / ACCURACY, range(len(probs))
+    rows = rows.join(sizes.select("g"), "g", "left_semi").where("v is not null")
+    position = F.array(*[F.lit(float(p)) for p in probs])
+    while True:
+        below, inside = _inside(rows, _brackets(rows, probs, margin), places)
+        below, below_path = _stored(below, "below")
+        inside = inside.repartitionByRange("g", "i", "v").withColumn("part", F.spark_partition_id())
+        inside, inside_path = _stored(inside, "inside")
+        parts = inside.groupBy("g", "i", "part").agg(F.sum("c").alias("m"))
+        wanted = (below.join(sizes, "g").select("g", F.posexplode(F.arrays_zip("below", position.alias("p"))).alias("i", "x"), "n")
+                  .select("g", "i", F.col("x.below").alias("start"), (F.col("x.p") * (F.col("n") - 1)).alias("at")))
+        held = parts.groupBy("g", "i").agg(F.sum("m").alias("m"))
+        missed = wanted.join(held, ["g", "i"], "left").where(
+            "coalesce(m, 0) = 0 or floor(at) < start or ceil(at) >= start + m").limit(1).count()
+        if not missed:
+            break
+        margin *= 16
+        discard(spark, below_path)
+        discard(spark, inside_path)
+    # A row per range of the shuffle and bracket: few, however many values.
+    upto = Window.partitionBy("g", "i").orderBy("part")
+    starts = (parts.withColumn("before", F.sum("m").over(upto) - F.col("m")).join(wanted, ["g", "i"])
+              .select("g", "i", "part", (F.col("start") + F.col("before")).alias("start"), "at")
+              .join(parts.select("g", "i", "part", "m"), ["g", "i", "part"])
+              .where("ceil(at) >= start and floor(at) < start + m"))
+    ordered = (inside.join(starts, ["g", "i", "part"])
+               .withColumn("upto", F.col("start") + F.sum("c").over(Window.partitionBy("g", "i", "part").orderBy("v"))))
+    pick = "max(case when {0}(at) between upto - c and upto - 1 then v end)"
+    picked = ordered.groupBy("g", "i").agg(F.first("at").alias("at"), F.expr(pick.format("floor")).alias("a"),
+                                           F.expr(pick.format("ceil")).alias("b"))
+    between = F.expr("case when a = b then a else a + (b - a) * (at - floor(at)) end")
+    result = picked.groupBy("g").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", between.alias("p")))),
+                                                 lambda x: x["p"]).alias("p"))
+    out, _ = _stored(result, "percentiles")
+    discard(spark, below_path)
+    discard(spark, inside_path)
+    return out
+
+
+def _grouped(df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """One row per ``g`` with its percentiles; null where it has no values.
 
-    ``n`` is the number of values of a group; ranks count from 0. A value wanted at a broken rank lies
-    between the values at the whole ranks below and above it.
+    ``g`` is a struct of the keys, because its equality also holds between nulls. Keys and values are stored first, so
+    that the passes over them do not build ``df`` again.
     """
-    position = [f"{float(p)!r}D * (n - 1)" for p in probs]
-    ranks = [f"{side}({at})" for at in position for side in ("floor", "ceil")]
-    by_value = (Window.partitionBy("g", "slot", "fine").orderBy("v")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    slots = _narrowed(counts, _narrowed(counts, None, ranks), ranks)
-    ranked = (
-        counts.join(slots, ["g", "slot", "fine"])
-        .select("g", "v", "n", "c", (F.col("before") + F.sum("c").over(by_value)).alias("upto"))
-    )
-    picks = [f"max(CASE WHEN {rank} BETWEEN upto - c AND upto - 1 THEN v END) AS r{i}"
-             for i, rank in enumerate(ranks)]
-    picked = ranked.groupBy("g").agg(F.max("n").alias("n"), *[F.expr(pick) for pick in picks])
-    return picked.selectExpr("g", *[
-        f"r{2 * i} + (r{2 * i + 1} - r{2 * i}) * ({at} - floor({at})) AS `{name}`"
-        for i, (at, name) in enumerate(zip(position, names))])
+    probs = [float(p) for p in probs]
+    rows, path = _stored(df.select(F.struct(*keys).alias("g"), value.cast("double").alias("v")), "values")
+    sizes = rows.groupBy("g").agg(F.count("v").alias("n")).where(F.col("n") > DIRECT)
+    sizes, sizes_path = _stored(sizes, "large-groups")
+    spark, large = df.sparkSession, not sizes.isEmpty()
+    direct = rows.join(sizes, "g", "left_anti") if large else rows
+    found, _ = _stored(direct.groupBy("g").agg(F.percentile("v", probs).alias("p")), "percentiles")
+    if large:
+        found = found.union(_bracketed(rows, sizes, probs))
+    discard(spark, path)
+    discard(spark, sizes_path)
+    return found.select("g", *[F.col("p")[i].alias(n) for i, n in enumerate(names)])
 
 
 def percentiles_by(df: DataFrame, keys: Sequence[str], value: str | Column,
@@ -111,7 +136,7 @@ def percentiles_by(df: DataFrame, keys: Sequence[str], value: str | Column,
         sketch = F.percentile_approx(value, [float(p) for p in probs], accuracy)
         found = df.groupBy(*keys).agg(sketch.alias("_ps"))
         return found.select(*keys, *[F.col("_ps")[i].alias(n) for i, n in enumerate(names)])
-    found = _grouped(_counted(df, keys, value), probs, names)
+    found = _grouped(df, keys, value, probs, names)
     return found.select(*[F.col("g").getField(k).alias(k) for k in keys], *names)
 
 
@@ -123,5 +148,5 @@ def percentiles_over(df: DataFrame, keys: Sequence[str], value: str | Column,
     their measured size; if they are too many to broadcast, adaptive execution splits hot groups.
     """
     value = F.col(value) if isinstance(value, str) else value
-    groups = _grouped(_counted(df, keys, value), probs, list(names or [_label(p) for p in probs]))
+    groups = _grouped(df, keys, value, probs, list(names or [_label(p) for p in probs]))
     return df.withColumn("g", F.struct(*keys)).join(groups, "g", "left").drop("g")

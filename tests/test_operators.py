@@ -178,22 +178,45 @@ EXTREME = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 2.2250738585072014e-308, 1.0, 1.0
            1.7e9, 1.7e9 + 1e-6, -2.5, 1e-5, -1e-5]
 
 
-def test_slots_rise_with_the_values(spark):
-    df = spark.createDataFrame([(v,) for v in EXTREME], "v double")
-    slot, fine = percentiles._slots(F.col("v"))
-    found = df.select("v", slot.alias("s"), fine.alias("f")).collect()
-    ordered = sorted(found, key=lambda r: (r.v != r.v, r.v))
-    places = [(r.s, r.f) for r in ordered]
-    assert places == sorted(places) and None not in [x for p in places for x in p]
-
-
-@pytest.mark.parametrize("values", ["id * 1e-10", "1.7e9D + id / 10", "id % 2 * 1e300 + id", "-1e-300 * id", "id"])
-def test_no_slot_holds_much_of_a_hot_group(spark, values):
-    df = spark.range(200_000).select(F.lit(1).alias("k"), F.expr(values).cast("double").alias("v"))
-    counts = percentiles._counted(df, ["k"], F.col("v"))
-    assert counts.groupBy("g", "slot", "fine").count().agg(F.max("count")).first()[0] <= 2000
-    want = df.select(F.percentile("v", [0.1, 0.5, 0.97])).first()[0]
-    assert list(percentiles.percentiles_by(df, ["k"], "v", [0.1, 0.5, 0.97]).first())[1:] == pytest.approx(want, rel=1e-12)
+def test_far_off_and_tiny_values_in_order(spark, monkeypatch):
+    df = spark.createDataFrame([(1, v) for v in EXTREME], "k int, v double")
+    ranked = sorted(EXTREME, key=lambda v: (v != v, v))
+    probs = [i / (len(EXTREME) - 1) for i in range(len(EXTREME))]
+    for direct in (100, 1):
+        monkeypatch.setattr(percentiles, "DIRECT", direct)
+        got = list(percentiles.percentiles_by(df, ["k"], "v", probs, [f"c{i}" for i in range(len(probs))]).first())[1:]
+        assert [repr(abs(g) if g == 0 else g) for g in got[:-1]] == [repr(abs(v) if v == 0 else v) for v in ranked[:-1]]
+        assert got[-1] != got[-1]
+
+
+@pytest.mark.parametrize("values", ["id * 1e-10", "1.7e9D + id / 10", "id % 2 * 1e300 + id", "-1e-300 * id", "id", "id % 3",
+                                    "if(id < 120000, 5, id)", "if(id % 49 = 0, null, id * id)"])
+def test_brackets_of_hot_groups(spark, values):
+    """Groups above ``DIRECT`` values go by brackets, beside small ones and one without values."""
+    key = F.when(F.col("id") % 4 > 0, "hot").when(F.col("id") % 100 == 0, F.lit(None)).when(F.col("id") < 40, "few").otherwise("large")
+    df = spark.range(200_000).select(key.alias("k"), F.expr(values).cast("double").alias("v"))
+    df = df.union(spark.createDataFrame([("void", None)], "k string, v double"))
+    probs = [0.0, 0.1, 0.5, 0.97, 1.0]
+    want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", probs).alias("p")).collect()}
+    got = {r[0]: list(r[1:]) for r in percentiles.percentiles_by(df, ["k"], "v", probs).collect()}
+    assert got.keys() == want.keys() and got["void"] == [None] * 5
+    for k, p in want.items():
+        assert p is None and k == "void" or got[k] == pytest.approx(p, rel=1e-12)
+
+
+def test_missed_brackets_are_widened(spark, monkeypatch):
+    real, margins = percentiles._brackets, []
+
+    def off(rows, probs, margin):
+        margins.append(margin)
+        found = real(rows, probs, margin)
+        return found if len(margins) > 2 else found.withColumn("lo", F.transform("lo", lambda x: x + 1e6))
+    monkeypatch.setattr(percentiles, "_brackets", off)
+    monkeypatch.setattr(percentiles, "DIRECT", 100)
+    df = spark.range(9000).select((F.col("id") % 2).alias("k"), F.sqrt("id").alias("v"))
+    want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", 0.3).alias("p")).collect()}
+    assert {r.k: r.p30 for r in percentiles.percentiles_by(df, ["k"], "v", [0.3]).collect()} == pytest.approx(want)
+    assert len(margins) == 3 and margins[2] == 256 * margins[0]
 
 
 def test_approximate_percentiles_are_near(spark):

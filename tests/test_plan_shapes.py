@@ -90,21 +90,17 @@ def test_growth_uses_one_window(spark):
     assert len(re.findall(r"\bWindow \[", plan_of(windows.yoy(df, ["s", "q"], "year", "total")))) == 1
 
 
-def test_percentiles_count_values_once(spark):
-    df = spark.range(0, 10000, 1, 4).select((F.col("id") % 3).alias("k"), F.sqrt("id").alias("v"))
-    plan = final_plan(percentiles.percentiles_by(df, ["k"], "v", [0.9])).split("== Initial")[0]
-    assert "ReusedExchange" in plan
-    assert "percentile(" not in plan and "collect_list" not in plan
-
-
-def test_a_hot_group_is_ordered_slot_by_slot(spark):
-    """No window that orders values sees a whole group: it gets the slots with wanted ranks only."""
-    df = spark.range(0, 200_000, 1, 8).select(F.lit(1).alias("k"), (F.col("id") / 7).alias("v"))
-    counts = percentiles._counted(df, ["k"], F.col("v"))
-    largest = counts.groupBy("g", "slot", "fine").count().agg(F.max("count")).first()[0]
-    assert largest < 200_000 / 100
-    assert percentiles.percentiles_by(df, ["k"], "v", [0.5]).first()[1] == pytest.approx(
-        199_999 / 2 / 7)
+def test_only_values_inside_a_bracket_are_shuffled(spark):
+    """A hot group sends counts and a few thousandths of its values through the two counting shuffles."""
+    rows = spark.range(0, 200_000, 1, 8).select(F.struct(F.lit(1).alias("k")).alias("g"), (F.col("id") / 7).alias("v"))
+    brackets = percentiles._brackets(rows, [0.5, 0.9], percentiles.MARGIN / percentiles.ACCURACY)
+    below, inside = percentiles._inside(rows, brackets, range(2))
+    assert inside.count() < 2 * 200_000 / 100
+    for counted in (below, inside):
+        plan = plan_of(counted).split("== Initial")[0]
+        assert "partial_count" in plan and "Window" not in plan
+    df = rows.select("g.k", "v")
+    assert percentiles.percentiles_by(df, ["k"], "v", [0.5]).first()[1] == pytest.approx(199_999 / 2 / 7)
 
 
 def test_sessions_meet_as_stretches(spark):
