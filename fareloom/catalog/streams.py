@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import streaming as st
+from ..schemas import ACTIVITY_JSON
 from ..session import fresh_dir
 from ..sinks import KeyedTable
 from ..sinks.files import write_parquet
-from ..sources.topics import stream_files
+from ..plans import activity as act
+from ..sources.topics import stream_event_lines, stream_files
 from .activity import SESSION_KEYS, SESSIONS_SQL, keyed_events
-from .mapping import table
+from .mapping import EVENTS_SQL, nested_events, table
 from .registry import query
 
 
@@ -95,6 +97,23 @@ def landing_append(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("land_new_files", f"""
+WITH {EVENTS_SQL} SELECT * EXCLUDE (ts) FROM activity""")
+def land_new_files(spark, sf_dir):
+    """Hourly event lines come in two loads. Each run cleans and appends the files that the checkpoint does not know."""
+    events = nested_events(spark, sf_dir)
+    inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "cleaned", "checkpoint"))
+    session = st.stream_session(spark)
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    for load, part in (("first", F.col("created_at") < half), ("second", F.col("created_at") >= half)):
+        text = F.concat(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+        lines = events.where(part).withColumn("created_at", text)
+        lines.write.json(f"{inbox}/{load}")
+        arrived = stream_event_lines(session, f"{inbox}/*", ACTIVITY_JSON)
+        st.replay(st.land(act.clean_events(act.land_events(arrived)), out, checkpoint))
+    return spark.read.parquet(out)
+
+
 @query("late_rows", """
 SELECT COUNT(*) AS late_rows FROM events
 WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND ts + INTERVAL 5 MINUTE <=

@@ -11,7 +11,7 @@ from ..plans import ingest
 from ..plans.questions import distinct_pickups, vendors_between
 from ..schemas import WATCH_COUNTS
 from ..session import fresh_dir, fresh_name
-from ..sinks import (append, create_as, ensure_table, materialize, replace, required,
+from ..sinks import (IncrementalAggregate, append, create_as, ensure_table, materialize, replace, required,
                      write_partitioned)
 from .mapping import EVENTS_SQL, TRIPS_SQL, nested_events, table, trips
 from .registry import query
@@ -49,19 +49,37 @@ def replace_table(spark, sf_dir):
 SELECT COUNT(*) AS rows, COUNT(DISTINCT l_suppkey) AS pickup_locations FROM lineitem""")
 def materialized_count(spark, sf_dir):
     """The view is stored for one line status, then refreshed when its definition covers both."""
-    name, wanted = fresh_name("mview"), ["O"]
+    name, root, wanted = fresh_name("mview"), fresh_dir(spark, "mview"), ["O"]
 
     def build():
         return table(spark, sf_dir, "lineitem").where(F.col("l_linestatus").isin(*wanted))
 
-    materialize(spark, name, build)
+    materialize(spark, name, build, root)
     wanted.append("F")
-    lines = materialize(spark, name, build).withColumnRenamed("l_suppkey", "pulocationid")
+    lines = materialize(spark, name, build, root).withColumnRenamed("l_suppkey", "pulocationid")
     counted = lines.agg(F.count("*").alias("rows"),
                         F.count_distinct("pulocationid").alias("pickup_locations"))
     return counted
 
 
+@query("incremental_refresh", """
+SELECT l_returnflag, l_linestatus, COUNT(*) AS lines, COUNT(l_suppkey) AS suppliers,
+       CAST(SUM(CAST(l_quantity AS DECIMAL(15,2))) AS DOUBLE) AS quantity, MIN(l_shipdate) AS first_shipped,
+       MAX(l_extendedprice) AS dearest, ROUND(AVG(l_linenumber), 6) AS avg_line
+FROM lineitem GROUP BY 1, 2""")
+def incremental_refresh(spark, sf_dir):
+    """Three loads of lines come into a folder one after the other; each refresh reads the new files alone."""
+    lines, source = table(spark, sf_dir, "lineitem"), fresh_dir(spark, "arriving")
+    stored = IncrementalAggregate(fresh_dir(spark, "states"), source, lines.schema, ["l_returnflag", "l_linestatus"], {
+        "lines": ("count", F.lit(1)), "suppliers": ("count", "l_suppkey"),
+        "quantity": ("sum", F.col("l_quantity").cast("decimal(15,2)")), "first_shipped": ("min", "l_shipdate"),
+        "dearest": ("max", "l_extendedprice"), "avg_line": ("avg", "l_linenumber")})
+    for load in range(3):
+        lines.where(F.col("l_orderkey") % 3 == load).write.mode("append").parquet(source)
+        stored.refresh(spark)
+    return stored.read(spark).withColumn("avg_line", F.round("avg_line", 6))
+
+
 @query("partition_prune_distinct", """
 SELECT DISTINCT user_id AS vendorid FROM events
 WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'""")
@@ -101,16 +119,14 @@ UNION ALL
 SELECT unique_row_id, 'second.csv', strftime(pickup_datetime, '%Y-%m') FROM hashed
 WHERE unique_row_id NOT IN (SELECT unique_row_id FROM first_load)""")
 def merge_insert_only(spark, sf_dir):
-    """A first file with the early trips, then a second one that holds all trips."""
-    path = fresh_dir(spark, "merged")
+    """A first file with the early trips, then a second one that holds all trips, into a table bucketed by row id."""
+    name, path = fresh_name("merged"), fresh_dir(spark, "merged")
     rows = ingest.with_month(
         trips(spark, sf_dir).withColumn("unique_row_id", row_hash(*HASHED)), "pickup_datetime")
     early = rows.where(F.col("pickup_datetime") < F.lit("1998-06-15").cast("timestamp_ntz"))
 
-    def load(staging, name):
-        staging = staging.select("unique_row_id", F.lit(name).alias("filename"), ingest.PART)
-        ingest.store(spark, path, staging)
+    def load(staging, file):
+        return ingest.store_bucketed(name, staging.select("unique_row_id", F.lit(file).alias("filename"), ingest.PART), path, buckets=8)
 
     load(early, "first.csv")
-    load(rows, "second.csv")
-    return ingest.stored(spark, path, "unique_row_id string, filename string, pickup_month string")
+    return load(rows, "second.csv")

@@ -10,7 +10,7 @@ from ..operators import quality
 from ..plans import marts
 from ..plans import trips as models
 from ..schemas import MONEY_COLUMNS
-from ..session import fresh_name
+from ..session import fresh_dir, fresh_name
 from ..sinks.tables import Layers
 from .mapping import (FACT_SQL, FHV_SQL, MONEY_AS_DOUBLE, STAGED_SQL, ZONES_SQL, raw_fhv, raw_zones,
                       table, trips)
@@ -141,7 +141,7 @@ def monthly_fare_percentiles(spark, sf_dir):
 grouped AS (SELECT service_type, year, month, {_FARES} FROM paid GROUP BY 1, 2, 3)
 SELECT * FROM paid JOIN grouped USING (service_type, year, month)""")
 def fare_percentile_window(spark, sf_dir):
-    stored = Layers(spark, fresh_name("fares") + "_").store("fact", fact(spark, sf_dir), "table")
+    stored = Layers(spark, fresh_name("fares") + "_", fresh_dir(spark, "fares")).store("fact", fact(spark, sf_dir), "table")
     rows = marts.fare_percentile_window(stored)
     return rows.withColumns({n: F.round(n, 4) for n in marts.FARE_PROBS})
 
@@ -174,7 +174,7 @@ WITH {FACT_SQL}
 SELECT service_type, COUNT(*) AS trips, CAST(SUM(total_amount) AS DOUBLE) AS total_amount
 FROM fact GROUP BY 1""")
 def model_layers(spark, sf_dir):
-    layers = Layers(spark, fresh_name("model") + "_")
+    layers = Layers(spark, fresh_name("model") + "_", fresh_dir(spark, "model"))
     zones = models.dim_zones(raw_zones(spark, sf_dir), layers=layers)
     stage = models.stage_trips(trips(spark, sf_dir), layers=layers)
     stored = models.fact_trips(stage, zones, layers=layers)
@@ -260,7 +260,7 @@ _STATUS = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS st
 ]) + ")")
 def quality_report(spark, sf_dir):
     """The checked columns of all staged trips are stored once; every check then reads its own."""
-    layers = Layers(spark, fresh_name("checked") + "_")
+    layers = Layers(spark, fresh_name("checked") + "_", fresh_dir(spark, "checked"))
     zones = models.dim_zones(raw_zones(spark, sf_dir), layers=layers)
     checked = ["tripid", "payment_type", "pickup_locationid", "dropoff_locationid"]
     stage = layers.store("trips", staged(spark, sf_dir).select(*checked), "table")

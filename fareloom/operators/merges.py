@@ -44,17 +44,22 @@ def match_merge(target: DataFrame, source: DataFrame, key: Sequence[str]) -> Dat
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], set_columns: Sequence[str],
-           mode: str = "replace") -> DataFrame:
+           mode: str = "replace", unique: bool = False, joined_maps: Sequence[str] = ()) -> DataFrame:
     """Target with matched rows updated and new rows inserted; a repeated source key is an error.
 
-    ``replace`` takes the source value of the set columns, ``add`` adds it to the stored one.
+    ``replace`` takes the source value of the set columns, ``add`` adds it to the stored one. ``unique``: the source
+    is known to hold every key once and is not checked. Maps in ``joined_maps`` get the entries of both sides, the
+    source's where they share a key.
     """
     if mode not in ("replace", "add"):
         raise ValueError(f"unknown mode {mode!r}")
-    merged = match_merge(target, once_per_key(source, key), key)
+    merged = match_merge(target, source if unique else once_per_key(source, key), key)
 
     def column(name: str):
         old, new = F.col("t").getField(name), F.col("s").getField(name)
+        if name in joined_maps:
+            rest = F.map_filter(old, lambda k, _: ~F.coalesce(F.map_contains_key(new, k), F.lit(False)))
+            return F.coalesce(F.map_concat(rest, new), old, new)
         if name not in set_columns:
             return F.coalesce(old, new) if name in key else F.when(
                 F.col("t").isNotNull(), old).otherwise(new)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +51,16 @@ def _is_there(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop)
 
 
-def _append(staging: DataFrame, table_path: str) -> None:
-    staging.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(table_path)
+def _append(staging: DataFrame, table_path: str, *parts: str) -> None:
+    parts = parts or (PART,)
+    staging.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(table_path)
+
+
+def loaded_files(spark: SparkSession, table_path: str) -> list[str]:
+    """The names of the files in a table with one folder per file, from the folders alone."""
+    files, folder = file_system(spark, table_path)
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(unquote(n.removeprefix("filename=")) for n in names if n.startswith("filename="))
 
 
 def store(spark: SparkSession, table_path: str, staging: DataFrame,
@@ -75,15 +84,39 @@ def ingest_months(spark: SparkSession, root: str, kind: str, months: Sequence[st
                   gaps: bool = False, bad_rows: str = "fail") -> None:
     """Load the files of one month, or of a range for a backfill. Loading them again adds nothing.
 
-    Yellow and green rows are told apart by their hash. For-hire rows have no identifying fields: a file whose
-    name is stored already is left out, every other one is appended whole.
+    Yellow and green rows are told apart by their hash. For-hire rows have no identifying fields: they are stored in
+    one folder per file, a file whose folder is there is left out, and every other one is appended whole. No stored row
+    is read for that.
     """
     rows = scan_months(spark, root, kind, months, TRIP_CSV[kind], template, gaps=gaps, bad_rows=bad_rows)
     if kind in _PICKUP:
         store(spark, table_path, with_month(with_row_id(rows, kind), _PICKUP[kind]))
         return
     rows = with_month(rows, "pickup_datetime")
-    if _is_there(spark, table_path):
-        known = stored(spark, table_path, rows.schema).select("filename").distinct()
-        rows = rows.join(known, "filename", "left_anti").select(*rows.columns)
-    _append(rows, table_path)
+    known = loaded_files(spark, table_path)
+    _append(rows.where(~F.col("filename").isin(known)) if known else rows, table_path, "filename", PART)
+
+
+def store_bucketed(name: str, staging: DataFrame, path: str, key: str = "unique_row_id", buckets: int = 64) -> DataFrame:
+    """Merge staged rows into a catalog table that is bucketed and sorted by the row id; the first load makes it.
+
+    The staged rows are dealt to the buckets once, for the join and for the files alike, one file per bucket and load.
+    The target is read bucket by bucket and never shuffled, however large it is. ``buckets`` holds for a new table.
+    """
+    spark = staging.sparkSession
+    there = spark.catalog.tableExists(name)
+    if there:
+        lines = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").collect()
+        if not lines:
+            raise ValueError(f"{name} is not bucketed")
+        buckets = int(lines[0]["data_type"])
+        staging = staging.select(*spark.table(name).columns)
+    new = new_for_buckets(spark.table(name), staging, key, buckets) if there else staging.repartition(buckets, key)
+    (new.write.mode("append").bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+def new_for_buckets(target: DataFrame, staging: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Staged rows that a table bucketed by ``key`` lacks, dealt as its buckets are. Rows without a key are all new."""
+    dealt = staging.repartition(buckets, key)
+    return dealt.join(target.select(F.col(key).alias("_key")).hint("merge"), F.col(key) == F.col("_key"), "left_anti")

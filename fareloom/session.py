@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -80,6 +81,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def fresh_dir_in(root: str, label: str) -> str:
+    """A path under ``root`` that nothing has used before. It belongs to the caller and stays."""
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def file_path(path: str) -> str:
+    """A path as it can be compared: ``file:/a``, ``file:///a`` and ``/a`` are the same."""
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
+
+
 def fresh_name(label: str) -> str:
     """A table or view name that nothing has used before; ``release`` drops it."""
     name = f"fl_{label}_{uuid.uuid4().hex[:12]}"

@@ -1,14 +1,14 @@
-"""Writers: files, tables and their versions, and topic messages."""
+"""Writers: files, tables, keyed tables, incremental aggregates, and topic messages."""
 
-from .files import (latest_version, land_version, read_latest, write_csv, write_parquet,
-                    write_partitioned)
+from .files import write_csv, write_parquet, write_partitioned
+from .incremental import IncrementalAggregate
 from .keyed import KeyedTable
 from .tables import (Layers, append, create_as, ensure_table, materialize, model, replace,
                      replace_schema, required)
 from .topics import json_payload, publish_json
 
 __all__ = [
-    "KeyedTable", "Layers", "append", "create_as", "ensure_table", "json_payload", "land_version",
-    "latest_version", "materialize", "model", "publish_json", "read_latest", "replace",
-    "replace_schema", "required", "write_csv", "write_parquet", "write_partitioned",
+    "IncrementalAggregate", "KeyedTable", "Layers", "append", "create_as", "ensure_table", "json_payload",
+    "materialize", "model", "publish_json", "replace", "replace_schema", "required", "write_csv",
+    "write_parquet", "write_partitioned",
 ]

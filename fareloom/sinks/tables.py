@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import discard, fresh_dir
+from ..session import discard, file_path, fresh_dir_in
 
 
 def create_as(name: str, df: DataFrame, path: str) -> DataFrame:
@@ -72,29 +72,48 @@ def _location(spark: SparkSession, name: str) -> str | None:
     return lines[0]["data_type"] if lines else None
 
 
-def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+#: Marks tables that ``materialize`` made, with the folder that holds their files.
+_OWNED = "fareloom.materialized"
+
+
+def _owner(spark: SparkSession, name: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == _OWNED).collect()
+    return found[0]["value"] if found else None
+
+
+def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame], root: str | None = None) -> DataFrame:
     """Store the result of ``build`` under ``name``; calling it again refreshes the stored rows.
 
-    The new rows are written completely before the name is pointed at them, so it is never without rows; then
-    the old files go. Frames made before a refresh must be taken from the table anew.
+    The files lie in folders of their own under ``root`` (by default a folder of the warehouse) and stay when the
+    session ends. The new rows are written completely before the name is pointed at them, so it is never without rows;
+    then the old files go, if they lie where this function put them. A name that something else stored, such as an
+    external table, is refused before anything is written. Frames made before a refresh must be taken from the table anew.
     """
-    path = fresh_dir(spark, name)
+    there = spark.catalog.tableExists(name)
+    owner = _owner(spark, name) if there else None
+    if there and owner is None:
+        raise ValueError(f"{name} was not stored by materialize")
+    root = (root or owner or f"{spark.conf.get('spark.sql.warehouse.dir')}/materialized").rstrip("/")
+    path = fresh_dir_in(root, name)
     build().write.parquet(path)
+    if not there:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' TBLPROPERTIES ('{_OWNED}' = '{root}')")
+        return spark.table(name)
     old = _location(spark, name)
-    if old is None:
-        spark.catalog.createTable(name, path=path, source="parquet")
-    else:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    if owner != root:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_OWNED}' = '{root}')")
+    spark.catalog.refreshTable(name)
+    if old and file_path(old).startswith(file_path(owner) + "/"):
         discard(spark, old)
     return spark.table(name)
 
 
 class Layers:
-    """Stores models: views stay plans, tables are written once and read back."""
+    """Stores models: views stay plans, tables are written once and read back. ``root`` as in ``materialize``."""
 
-    def __init__(self, spark: SparkSession, prefix: str = ""):
-        self.spark, self.prefix = spark, prefix
+    def __init__(self, spark: SparkSession, prefix: str = "", root: str | None = None):
+        self.spark, self.prefix, self.root = spark, prefix, root
 
     def store(self, name: str, df: DataFrame, kind: str) -> DataFrame:
         name = self.prefix + name
@@ -102,7 +121,7 @@ class Layers:
             df.createOrReplaceTempView(name)
             return self.spark.table(name)
         if kind == "table":
-            return materialize(self.spark, name, lambda: df)
+            return materialize(self.spark, name, lambda: df, self.root)
         raise ValueError(f"unknown kind {kind!r}")
 
 

@@ -47,3 +47,9 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType,
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)
+
+
+def stream_event_lines(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """JSON-lines files arriving in a folder; a broken line stops the stream with its file."""
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).json(path)

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,7 +9,9 @@ from fareloom import streaming as st
 from fareloom.operators.sessions import session_counts
 from fareloom.session import fresh_dir
 from fareloom.sinks import KeyedTable, write_parquet
+from fareloom.schemas import ACTIVITY_JSON
 from fareloom.sources import stream_files
+from fareloom.sources.topics import stream_event_lines
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -168,3 +171,21 @@ def test_a_live_query_runs_by_interval(spark):
     finally:
         query.stop()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_event_lines_are_read_once(spark, rows):
+    """The second run reads the file that came after the first, and nothing else; a broken line stops it."""
+    inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "out", "checkpoint"))
+    session = st.stream_session(spark)
+
+    def run():
+        query = st.replay(st.land(stream_event_lines(session, f"{inbox}/*", ACTIVITY_JSON), out, checkpoint))
+        return sum(p["numInputRows"] for p in query.recentProgress)
+    for hour, n in (("one", 3), ("two", 2)):
+        spark.range(n).select(F.concat(F.lit(hour), F.col("id").cast("string")).alias("id")).coalesce(1).write.json(f"{inbox}/{hour}")
+        assert run() == n
+    assert run() == 0
+    assert rows(spark.read.parquet(out), "id") == [("one0",), ("one1",), ("one2",), ("two0",), ("two1",)]
+    spark.createDataFrame([('{"id": ',)], "value string").write.text(f"{inbox}/broken")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        run()
