@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import row_hash
-from ..operators.aggregates import row_count
+from ..operators.aggregates import SKETCH_ERROR, distinct_between, distinct_sketches, row_count
 from ..plans import activity as act
 from ..plans import ingest
 from ..plans.questions import distinct_pickups, vendors_between
 from ..schemas import WATCH_COUNTS
 from ..session import fresh_dir, fresh_name
 from ..sinks import (IncrementalAggregate, append, create_as, ensure_table, materialize, replace, required,
-                     write_partitioned)
+                     write_clustered, write_partitioned)
 from .mapping import EVENTS_SQL, TRIPS_SQL, nested_events, table, trips
 from .registry import query
 
@@ -92,6 +92,46 @@ def partition_prune_distinct(spark, sf_dir):
     return vendors_between(spark.read.parquet(path), "ts", "2024-01-10", "2024-01-20", "day")
 
 
+@query("cluster_two_columns", """
+SELECT 'price' AS by, COUNT(*) AS rows, CAST(SUM(o_orderkey) AS BIGINT) AS keys FROM orders
+WHERE o_totalprice BETWEEN 100000 AND 110000
+UNION ALL
+SELECT 'date', COUNT(*), CAST(SUM(o_orderkey) AS BIGINT) FROM orders
+WHERE o_orderdate >= TIMESTAMP '1995-03-01 00:00:00' AND o_orderdate < TIMESTAMP '1995-04-01 00:00:00'""")
+def cluster_two_columns(spark, sf_dir):
+    """Orders stored by interleaved bits of price and date: a filter on either skips most row groups."""
+    path = fresh_dir(spark, "clustered")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    write_clustered(orders, path, ["o_totalprice", "o_orderdate"], rows_per_file=1000)
+    stored = spark.read.schema(orders.schema).parquet(path)
+    day = [F.lit(d).cast("timestamp_ntz") for d in ("1995-03-01", "1995-04-01")]
+    found = {"price": stored.where(F.col("o_totalprice").between(100_000, 110_000)),
+             "date": stored.where((F.col("o_orderdate") >= day[0]) & (F.col("o_orderdate") < day[1]))}
+    parts = [df.agg(F.lit(by).alias("by"), F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys")) for by, df in found.items()]
+    return parts[0].union(parts[1])
+
+
+_RANGES = [("2024-01-01", "2024-01-07"), ("2024-01-05", "2024-01-20"), ("2024-01-01", "2024-01-31"), ("2023-01-01", "2023-12-31")]
+
+
+@query("distinct_sketches", " UNION ALL ".join(f"""
+SELECT '{a}' AS first_day, '{b}' AS last_day, COUNT(DISTINCT event_id) AS exact, TRUE AS within_bound FROM events
+WHERE ts >= TIMESTAMP '{a} 00:00:00' AND ts < TIMESTAMP '{b} 00:00:00' + INTERVAL 1 DAY""" for a, b in _RANGES))
+def stored_sketches(spark, sf_dir):
+    """Sketches of the days are stored once and united over four ranges; the exact counts tell their error."""
+    events, path = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), fresh_dir(spark, "sketches")
+    distinct_sketches(events, "day", "event_id").write.parquet(path)
+    sketches, out = spark.read.parquet(path), None
+    for a, b in _RANGES:
+        exact = (events.where(F.col("day").between(F.lit(a).cast("date"), F.lit(b).cast("date")))
+                 .agg(F.count_distinct("event_id").alias("exact")))
+        row = (exact.join(distinct_between(sketches, "day", a, b).hint("broadcast"))
+               .select(F.lit(a).alias("first_day"), F.lit(b).alias("last_day"), "exact",
+                       (F.abs(F.col("distinct_values") - F.col("exact")) <= SKETCH_ERROR * F.col("exact")).alias("within_bound")))
+        out = row if out is None else out.union(row)
+    return out
+
+
 @query("ensure_table", f"""
 WITH {EVENTS_SQL}
 SELECT repo_name AS name, COUNT(*) AS watch_count FROM activity WHERE event_type = 'view'

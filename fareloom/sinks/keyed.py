@@ -92,7 +92,7 @@ class KeyedTable:
             landed = fresh_dir(spark, "source")
             columns = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
             source.select(*columns, self._bucket(size).alias(BUCKET)).write.parquet(landed)
-            source = spark.read.parquet(landed)
+            source = spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(landed)
             # Keys are counted with a map side; at most one number per bucket comes to the driver.
             empty = F.lit(False)
             for k in self.key:
@@ -111,19 +111,24 @@ class KeyedTable:
 
     def _rewrite(self, spark: SparkSession, source: DataFrame, size: int, touched: list[int], there: bool,
                  set_columns: list[str], mode: str, run: str | None, batch: int | None) -> None:
-        old = self._stored(spark, size if there else None).where(F.col(BUCKET).isin(touched))
         merged = source.drop(BUCKET)
         if run is None or batch is None:
             merged = merged.withColumn(MERGED, F.lit(None).cast("map<string,bigint>"))
         else:
             merged = merged.withColumn(MERGED, F.create_map(F.lit(run), F.lit(batch).cast("long")))
+        out = merged.select(*self._files.names)
+        if there:
+            out = self._joined(self._stored(spark, size).where(F.col(BUCKET).isin(touched)), merged, set_columns, mode, run, batch)
+        (out.withColumn(BUCKET, self._bucket(size)).hint("rebalance", BUCKET).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self._path(size)))
+
+    def _joined(self, old: DataFrame, merged: DataFrame, set_columns: list[str], mode: str, run: str | None, batch: int | None) -> DataFrame:
+        if run is not None and batch is not None:
             known = F.coalesce(F.try_element_at(F.col(MERGED), F.lit(run)), F.lit(-1)) >= batch
             done = old.where(known).select(*self.key)
             # Rows that this batch has made before meet no source row again.
             merged = merged.join(done, self.key, "left_anti")
-        out = upsert(old.drop(BUCKET), merged, self.key, set_columns, mode, unique=True, joined_maps=[MERGED])
-        (out.withColumn(BUCKET, self._bucket(size)).hint("rebalance", BUCKET).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self._path(size)))
+        return upsert(old.drop(BUCKET), merged, self.key, set_columns, mode, unique=True, joined_maps=[MERGED])
 
     def resize(self, spark: SparkSession, buckets: int) -> None:
         """Write the table anew with more buckets, when they have become too large. The new layout is written aside

@@ -398,3 +398,16 @@ def test_only_errors_stop_and_columns_must_exist(spark):
         quality.enforce(failed)
     with pytest.raises(ValueError, match="PUlocationID"):
         quality.check_unique(df, "PUlocationID")
+
+
+def test_sketches_of_days_are_united(spark):
+    from fareloom.operators import aggregates
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int"))
+    df = spark.range(50_000).select(day.alias("day"), (F.col("id") % 9001).alias("v"))
+    sketches = aggregates.distinct_sketches(df.union(spark.createDataFrame([(None, 7)], df.schema)), "day", "v")
+    assert sketches.count() == 10
+    for first, last in (("2024-01-02", "2024-01-02"), ("2024-01-01", "2024-01-10")):
+        exact = df.where(F.col("day").between(first, last)).select("v").distinct().count()
+        found = aggregates.distinct_between(sketches, "day", first, last).first()[0]
+        assert abs(found - exact) <= aggregates.SKETCH_ERROR * exact
+    assert aggregates.distinct_between(sketches, "day", "2030-01-01", "2030-01-02").first()[0] == 0

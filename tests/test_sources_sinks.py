@@ -543,3 +543,31 @@ def test_file_count_and_milliseconds(spark):
     back = spark.read.parquet(path)
     assert len(back.inputFiles()) == 3 and all(".gz." in f for f in back.inputFiles())
     assert back.first().t == dt.datetime(2024, 1, 1, 0, 0, 0, 123000)
+
+
+def test_a_filter_on_either_column_reads_a_quarter(spark):
+    import datetime as dt
+    import pathlib
+
+    import pyarrow.parquet as pq
+    path = fresh_dir(spark, "clustered")
+    draw = F.rand(3)
+    df = spark.range(0, 40_000, 1, 4).select("id", F.pow(draw, 6).alias("skewed"), F.timestamp_seconds(F.floor(F.rand(4) * 1e6)).cast("timestamp_ntz").alias("at"))
+    df = df.union(spark.createDataFrame([(-1, None, None)], "id long, skewed double, at timestamp_ntz"))
+    sinks.write_clustered(df, path, ["skewed", "at"], rows_per_file=500)
+    assert spark.read.parquet(path).count() == 40_001
+    for column in ("skewed", "at"):
+        low, high = df.select(F.percentile_approx(column if column == "skewed" else F.unix_seconds(F.col("at").cast("timestamp")), [0.50, 0.52])).first()[0]
+        read = 0
+        for f in pathlib.Path(path).glob("*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            for g in range(meta.num_row_groups):
+                c = next(meta.row_group(g).column(i) for i in range(meta.num_columns) if meta.row_group(g).column(i).path_in_schema == column)
+                a, b = c.statistics.min, c.statistics.max
+                if column == "at":
+                    a, b = (x.replace(tzinfo=dt.UTC).timestamp() for x in (a, b))
+                read += meta.row_group(g).num_rows if a <= high and b >= low else 0
+        assert 0 < read <= 10_000
+    empty = fresh_dir(spark, "empty")
+    sinks.write_clustered(df.where("id = -2"), empty, ["skewed", "at"])
+    assert spark.read.schema(df.schema).parquet(empty).count() == 0
