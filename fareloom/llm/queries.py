@@ -105,10 +105,9 @@ def op9(spark, sf_dir):
 
 @query("op10_secret_scan")
 def op10(spark, sf_dir):
-    """The test tables have no labelled findings: values assigned to the name of a secret stand for them."""
+    """The test tables have no labelled findings: their forms and the names they are assigned to stand for them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    reviewed = F.col("before").rlike(r"\b(token|secret|password|api_?key) ?[=:]$") & (F.length("finding") >= 20)
-    return secrets.find_secrets(docs, reviewed, path_col="source")
+    return secrets.find_secrets(docs, secrets.labels_by_form(), path_col="source")
 
 
 def _head_length(conv_id):

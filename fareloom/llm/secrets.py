@@ -1,8 +1,9 @@
 """Secret scans: broad candidates, and a random forest that removes the false ones. DataFrame functions only.
 
-A candidate is a run of ``MIN_LENGTH`` or more letters, digits and ``+/_=-`` inside a word of the text; a word may have
-many, as in code and JSON without blanks. A run has a digit, or else capitals behind small letters, a value assigned in
-or to it, or a word of ``KEYWORDS`` ahead of it: plain long words of a text are none. The forest sees its length, the shares of kinds of characters, how often neighbouring characters change
+A candidate is a run of ``MIN_LENGTH`` or more letters, digits and ``+/_-``, with up to two ``=`` behind it, inside a word of
+the text; a word may have many, as in code and JSON without blanks, and in ``name=value`` the value is one. A run has a
+digit, or else capitals behind small letters, is assigned to a name, or has a word of ``KEYWORDS`` ahead of it: plain
+long words of a text are none. The forest sees its length, the shares of kinds of characters, how often neighbouring characters change
 kind, how much of it the corpus's frequent words cover, the path of the document and the words around it. It is
 trained on labelled findings, of which the bounded sample below is taken; everything else covers all rows.
 """
@@ -23,11 +24,15 @@ MIN_LENGTH = 12
 #: About so many labelled findings are learnt from, half of each label; beyond it, those with the smallest hashes.
 MAX_TRAINING_ROWS = 20_000
 DICTIONARY_WORDS = 400
-_RUN = "[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH
+_RUN = "[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_LENGTH
 _ASSIGNED = "[=:]['\"` ]*$"
 # Words that name secrets, and words of paths that hold made-up ones.
 KEYWORDS = ["apikey", "auth", "bearer", "credential", "key", "passphrase", "passwd", "password", "private", "pwd", "secret", "token"]
 SAMPLE_PATHS = ["demo", "doc", "example", "fixture", "mock", "sample", "spec", "test"]
+# Public forms of keys, names a secret is assigned to, and names of harmless digests and numbers.
+KEY_FORMS = ["AKIA[0-9A-Z]{16}", "AIza[0-9A-Za-z_-]{35}", "gh[pousr]_[0-9A-Za-z]{36}", "xox[abp]-[0-9A-Za-z-]{20,}", "[sr]k_live_[0-9A-Za-z]{20,}"]
+SECRET_NAMES = "api_?key|access_?key|secret|token|passwd|password|passphrase|credential|private_?key|bearer"
+HARMLESS_NAMES = "build|commit|checksum|digest|etag|hash|id|md5|revision|sha-?[0-9]*|uuid|version"
 FEATURES = ["length", "digits", "capitals", "hex", "signs", "changes", "distinct", "covered", "quoted", "assigned",
             "named", "word_before", "path_depth", "path_sample"]
 
@@ -50,7 +55,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if(k = size(runs) - 1, behind, '') as after, concat(gaps[k], gaps[k + 1]) rlike '["\\'`]' as quoted))""")
     around = F.concat_ws(" ", "before", "prefix")
     plain = F.col("finding").rlike("[A-Za-z]") & (
-        F.col("finding").rlike("[a-z][A-Z]|=[^=]") | F.rtrim(around).rlike(_ASSIGNED)
+        F.col("finding").rlike("[a-z][A-Z]") | F.rtrim(around).rlike(_ASSIGNED)
         | reduce(lambda a, b: a | b, [around.contains(k) for k in KEYWORDS]))
     return (runs.select("doc_id", "path", "word", F.inline(parts))
             .where(F.col("finding").rlike("[0-9]") | plain))
@@ -88,6 +93,22 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     return found.withColumns({n: F.coalesce(values[n].cast("double"), F.lit(0.0)) for n in FEATURES})
 
 
+def labels_by_form() -> Column:
+    """Labels of candidates where no reviewed findings are at hand: 1, 0 or, for most forms, null.
+
+    Secrets are runs in a public form of a key, whatever stands around them, and runs assigned to the name of a secret, in
+    the word before or in their own word (``token: x``, ``token=x``, ``"token":"x"``). Harmless are runs assigned to the
+    name of a digest or number, and plain numbers and hexadecimal digits that no name of a secret precedes. No one
+    feature tells the two apart: keys occur without a name, and harmless runs are assigned too.
+    """
+    around, ends = F.concat_ws(" ", "before", "prefix"), r"""["'` ]*[:=]["'` ]*$"""
+    form = F.col("finding").rlike("^(?:" + "|".join(KEY_FORMS) + ")$")
+    secret = around.rlike(f"(?:{SECRET_NAMES}){ends}") & (F.length("finding") >= 16)
+    harmless = around.rlike(rf"(?:^|[^a-z])(?:{HARMLESS_NAMES}){ends}")
+    plain = F.col("finding").rlike("^(?:[0-9]+|[0-9a-f-]+)$") & ~around.rlike(SECRET_NAMES)
+    return F.when(form, 1).when(harmless, 0).when(secret, 1).when(plain, 0)
+
+
 def train(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS, trees: int = 20, depth: int = 6,
           seed: int = 5) -> RandomForestClassificationModel | None:
     """A forest from rows with ``FEATURES`` and ``label`` (0 or 1; null is left out). Without rows of both labels

@@ -100,3 +100,50 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, 'token = "0123456789abcdef"')], "doc_id long, text string")
     plan = secrets.find_secrets(docs, F.lit(1))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_a_key_is_found_however_it_is_written(spark):
+    """Three ways to write an assignment, keys without a name, and what looks like keys but is none."""
+    rng = random.Random(7)
+
+    def key(n=32):
+        return "".join(rng.choices("0123456789abcdef", k=n))
+    forms = {"word": lambda: f"token: {key()}", "equals": lambda: f"password={key(18)}", "json": lambda: '{"client_secret":"%s"}' % key(),
+             "access": lambda: "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)),
+             "build": lambda: f"build_id={key()}", "commit": lambda: f"commit: {key(40)}", "bare": lambda: key(40),
+             "card": lambda: "".join(rng.choices("0123456789", k=16)), "json id": lambda: '{"id":"%s"}' % key()}
+    words = ["".join(rng.choices("aeinorst", k=rng.randint(3, 8))) for _ in range(80)]
+    rows = [(i, form, " ".join([*rng.choices(words, k=6), make(), *rng.choices(words, k=6)]))
+            for form, make in forms.items() for i in range(len(forms) * 100) if i % len(forms) == list(forms).index(form)]
+    docs = spark.createDataFrame(rows, "doc_id long, form string, text string")
+    flagged = {form: 0 for form in forms}
+    for r in secrets.find_secrets(docs, secrets.labels_by_form()).collect():
+        flagged[list(forms)[r.doc_id % len(forms)]] += r.secret
+    assert all(flagged[f] >= 95 for f in ("word", "equals", "json", "access"))
+    assert all(flagged[f] <= 5 for f in ("build", "commit", "bare", "card", "json id"))
+
+
+def test_the_query_over_the_test_table(spark):
+    """Every planted form of the table is flagged, whatever the forest saw of it; long numbers are not."""
+    from fareloom.llm import queries
+    folder = "/root/testdata/sf0.01"  # a forest needs some dozens of findings
+    out = queries.QUERIES["op10_secret_scan"](spark, folder).collect()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    keys = {(i, m) for i, t in texts.items() for m in re.findall(r"(?:token = \"|password=)([0-9a-f]{16,})", t)}
+    found = {(r.doc_id, r.finding): r.secret for r in out}
+    assert keys <= found.keys() and all(found[k] for k in keys)
+    assert not any(secret for (_, f), secret in found.items() if f.isdigit())
+
+
+def test_labels_and_held_out_precision(spark):
+    """Learnt from four fifths of the documents, judged on the rest: the label is not a feature written again."""
+    from fareloom.catalog.mapping import table
+    docs = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text", "source")
+    found = secrets.candidates(docs, path_col="source").withColumn("label", secrets.labels_by_form()).where("label is not null")
+    train = found.where("doc_id % 5 != 0").select("doc_id", "word", "part", "label")
+    got = {(r.doc_id, r.word, r.part): r.secret for r in secrets.find_secrets(docs, train, path_col="source").collect()}
+    held = [(got[r.doc_id, r.word, r.part], bool(r.label)) for r in found.where("doc_id % 5 = 0").collect()]
+    hits = sum(a and b for a, b in held)
+    print("held out", len(held), "precision", hits / sum(a for a, _ in held), "recall", hits / sum(b for _, b in held))
+    assert hits / sum(a for a, _ in held) >= 0.9 and hits / sum(b for _, b in held) >= 0.9
