@@ -9,7 +9,8 @@ long line, or five shorter lines and so three grams.
 Every fingerprint's first place (by document id, then place) is its source. Later places are matched with the
 source and extended line by line both ways; fingerprints lie so close that ``REACH`` lines are always enough to
 arrive at the next one or at the end of the passage. Runs of matched lines are deleted if they hold enough words.
-No pair of copies is ever made: each place meets one source.
+No pair of copies is ever made: each place meets one source. Both sides of every join grow with the documents, so all are
+merge joins, at any size: what a broadcast would save on few documents says nothing about many.
 """
 
 from __future__ import annotations
@@ -61,12 +62,12 @@ def _sources(grams: DataFrame) -> DataFrame:
 
 def _matched_lines(lines: DataFrame, grams: DataFrame, sources: DataFrame) -> DataFrame:
     """(d, t, p, n): places of lines that repeat earlier ones, with their word counts."""
-    later = grams.join(sources, "g").where("struct(d, t, p) != s")
+    later = grams.join(sources.hint("merge"), "g").where("struct(d, t, p) != s")
     seeds = (later.groupBy("d", "t", F.col("s.d").alias("e"), F.col("s.t").alias("u"))
              .agg(F.collect_set(F.struct("p", F.col("s.p").alias("q"))).alias("seeds"),
                   F.min("p").alias("low"), F.max("p").alias("high")))
     # Of the later document only the stretch around its seeds travels on to the source.
-    here = (seeds.join(lines, ["d", "t"])
+    here = (seeds.join(lines.hint("merge"), ["d", "t"])
             .withColumn("base", F.greatest(F.col("low") - REACH, F.lit(0)))
             .withColumn("own", F.slice("h", F.col("base") + 1, F.col("high") - F.col("base") + 3 + REACH))
             .withColumn("words", F.slice("w", F.col("base") + 1, F.col("high") - F.col("base") + 3 + REACH))
@@ -82,7 +83,7 @@ def _matched_lines(lines: DataFrame, grams: DataFrame, sources: DataFrame) -> Da
     gram = f"if(get(words, s.p - base) >= {LONG_LINE}, 1, 3)"
     spans = (f"transform(seeds, s -> struct(s.p - base - {run('-', '1')} as a, "
              f"s.p - base + {gram} + {run('+', gram)} as b))")
-    return (here.join(source, ["e", "u"])
+    return (here.join(source.hint("merge"), ["e", "u"])
             .select("d", "t", "base", "words", F.explode(F.expr(
                 f"array_distinct(flatten(transform({spans}, x -> sequence(x.a, x.b - 1))))")).alias("i"))
             .select("d", "t", (F.col("base") + F.col("i")).alias("p"), F.expr("words[i]").alias("n")).distinct())
@@ -127,7 +128,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pieces = _PIECES.format("text")
     before = "transform(runs, (r, i) -> struct(if(i = 0, 0, get(runs, i - 1).b) as a, r.a as b))"
     rest = f"concat({before}, array(struct(element_at(runs, -1).b as a, size(pieces) as b)))"
-    cut = rows.join(runs, ["d", "t"], "left").withColumn("pieces", F.when(F.col("runs").isNotNull(), F.expr(pieces)))
+    cut = rows.join(runs.hint("merge"), ["d", "t"], "left").withColumn("pieces", F.when(F.col("runs").isNotNull(), F.expr(pieces)))
     left = F.expr(f"array_join(flatten(transform({rest}, r -> slice(pieces, r.a + 1, r.b - r.a))), '')")
     return cut.select(
         "row", "words", "runs", F.when(F.col("runs").isNull(), F.col("text")).otherwise(left).alias("text")
