@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import row_hash
@@ -121,15 +124,15 @@ def stored_sketches(spark, sf_dir):
     """Sketches of the days are stored once and united over four ranges; the exact counts tell their error."""
     events, path = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), fresh_dir(spark, "sketches")
     distinct_sketches(events, "day", "event_id").write.parquet(path)
-    sketches, out = spark.read.parquet(path), None
-    for a, b in _RANGES:
-        exact = (events.where(F.col("day").between(F.lit(a).cast("date"), F.lit(b).cast("date")))
-                 .agg(F.count_distinct("event_id").alias("exact")))
-        row = (exact.join(distinct_between(sketches, "day", a, b).hint("broadcast"))
-               .select(F.lit(a).alias("first_day"), F.lit(b).alias("last_day"), "exact",
-                       (F.abs(F.col("distinct_values") - F.col("exact")) <= SKETCH_ERROR * F.col("exact")).alias("within_bound")))
-        out = row if out is None else out.union(row)
-    return out
+    sketches, days = spark.read.parquet(path), F.col("day")
+    ranged = [F.lit(a).alias("first_day") for a, _ in _RANGES], [F.lit(b).alias("last_day") for _, b in _RANGES]
+    exact = [events.where(days.between(F.lit(a).cast("date"), F.lit(b).cast("date"))).agg(F.count_distinct("event_id").alias("exact"))
+             for a, b in _RANGES]
+    near = [distinct_between(sketches, "day", a, b) for a, b in _RANGES]
+    exact, near = (reduce(DataFrame.union, [df.select(first, last, "*") for df, first, last in zip(frames, *ranged)])
+                   for frames in (exact, near))
+    within = F.abs(F.col("distinct_values") - F.col("exact")) <= SKETCH_ERROR * F.col("exact")
+    return exact.join(near, ["first_day", "last_day"]).select("first_day", "last_day", "exact", within.alias("within_bound"))
 
 
 @query("ensure_table", f"""
