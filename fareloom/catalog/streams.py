@@ -140,3 +140,24 @@ def late_rows(spark, sf_dir):
     dropped = counter.total(run())
     session.streams.removeListener(counter)
     return spark.range(1).select(F.lit(dropped).cast("long").alias("late_rows"))
+
+
+@query("late_rows_kept", """
+SELECT event_id, ts, 'late' AS arrival FROM events
+WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND ts < (SELECT MAX(ts) - INTERVAL 5 SECOND FROM events)
+UNION ALL
+SELECT event_id, ts, 'on time' FROM events
+WHERE NOT (ts < TIMESTAMP '2024-01-16 00:00:00' AND ts < (SELECT MAX(ts) - INTERVAL 5 SECOND FROM events))""")
+def late_rows_kept(spark, sf_dir):
+    """As ``late_rows``, but the rows behind the watermark are kept in a side table."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    inbox, checkpoint, on_time, late, marks = (fresh_dir(spark, n) for n in ("inbox", "checkpoint", "on_time", "late", "marks"))
+    session = st.stream_session(spark)
+    for load, part in (("first", F.col("ts") >= middle), ("second", F.col("ts") < middle)):
+        write_parquet(events.where(part), f"{inbox}/{load}")
+        arrived = stream_files(session, f"{inbox}/*", events.schema)
+        st.replay(arrived.writeStream.foreachBatch(st.split_late(on_time, late, marks, "ts")).option("checkpointLocation", checkpoint))
+    parts = [spark.read.schema(events.schema).parquet(f"{path}/*").withColumn("arrival", F.lit(name))
+             for path, name in ((late, "late"), (on_time, "on time"))]
+    return parts[0].union(parts[1])

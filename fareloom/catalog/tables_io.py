@@ -11,6 +11,7 @@ from ..functions import row_hash
 from ..operators.aggregates import SKETCH_ERROR, distinct_between, distinct_sketches, row_count
 from ..plans import activity as act
 from ..plans import ingest
+from ..plans.checked import load_checked
 from ..plans.questions import distinct_pickups, vendors_between
 from ..schemas import WATCH_COUNTS
 from ..session import fresh_dir, fresh_name
@@ -173,3 +174,23 @@ def merge_insert_only(spark, sf_dir):
 
     load(early, "first.csv")
     return load(rows, "second.csv")
+
+
+_RULES = {"shipped": "l_shipdate >= TIMESTAMP '1993-01-01 00:00:00'", "flag": "l_returnflag IN ('A', 'N')", "discount": "l_discount > 0"}
+
+
+@query("load_quarantine", f"""
+WITH checked AS (
+  SELECT *, concat_ws(',', {", ".join(f"CASE WHEN NOT ({rule}) THEN '{name}' END" for name, rule in _RULES.items())}) AS reasons
+  FROM lineitem)
+SELECT reasons, COUNT(*) AS rows, CAST(SUM(l_orderkey) AS BIGINT) AS keys FROM checked GROUP BY 1""")
+def load_quarantine(spark, sf_dir):
+    """Lines are checked while they are loaded; the table and the quarantine together are all of them."""
+    loaded, aside = fresh_dir(spark, "loaded"), fresh_dir(spark, "quarantine")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag", "l_discount")
+    rules = {"shipped": F.col("l_shipdate") >= F.lit("1993-01-01").cast("timestamp_ntz"), "flag": F.col("l_returnflag").isin("A", "N"),
+             "discount": F.col("l_discount") > 0}
+    load_checked(lines, rules, loaded, aside, max_bad=1 << 62)
+    good = spark.read.schema(lines.schema).parquet(loaded).withColumn("reasons", F.lit(""))
+    bad = spark.read.parquet(aside).withColumn("reasons", F.array_join("reasons", ","))
+    return good.union(bad).groupBy("reasons").agg(F.count("*").alias("rows"), F.sum("l_orderkey").alias("keys"))

@@ -113,6 +113,34 @@ def watch_progress(writer: DataStreamWriter, interval: str = "60 seconds") -> St
     return writer.trigger(processingTime=interval).start()
 
 
+def split_late(on_time: str, late: str, watermarks: str, ts: str, delay: str = "5 seconds"):
+    """A batch function that keeps its own watermark beside its tables and sends the rows behind it to a side table.
+
+    Spark's watermark only counts such rows. Here the watermark of a batch is the newest ``ts`` of all batches before,
+    less ``delay``; rows without a time are on time. Each batch has a folder of its own in all three places and a
+    repeated one writes the same folders again, so nothing comes twice.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        files, folder = file_system(spark, watermarks)
+        known = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+        known = [n for n in known if n.startswith("batch=") and int(n[6:]) < batch_id]
+        mark = None
+        if known:
+            mark = spark.read.parquet(*[f"{watermarks}/{n}" for n in known]).agg(F.max("newest")).first()[0]
+        behind = F.lit(False) if mark is None else F.coalesce(F.col(ts) < F.lit(mark) - F.expr(f"interval {delay}"), F.lit(False))
+        batch = batch.persist()
+        batch.where(~behind).write.mode("overwrite").parquet(f"{on_time}/batch={batch_id}")
+        batch.where(behind).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+        # The watermark goes last: a batch that was broken off is split by the same one again.
+        newest = batch.agg(F.max(ts).alias("newest"))
+        if mark is not None:
+            newest = newest.select(F.greatest("newest", F.lit(mark)).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{watermarks}/batch={batch_id}")
+        batch.unpersist()
+    return write
+
+
 class LateRows(StreamingQueryListener):
     """Counts the rows that stateful operators dropped behind the watermark, batch by batch as they are reported.
 

@@ -571,3 +571,22 @@ def test_a_filter_on_either_column_reads_a_quarter(spark):
     empty = fresh_dir(spark, "empty")
     sinks.write_clustered(df.where("id = -2"), empty, ["skewed", "at"])
     assert spark.read.schema(df.schema).parquet(empty).count() == 0
+
+
+def test_rows_are_checked_by_the_load_itself(spark, rows, tmp_path):
+    from fareloom.plans.checked import TooManyBadRows, load_checked
+    good, aside, read = str(tmp_path / "good"), str(tmp_path / "aside"), spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame([(1, "a"), (None, "a"), (3, "x"), (None, None), (5, "b")], "k long, flag string")
+    seen = F.udf(lambda k: read.add(1) or k, "long").asNondeterministic()
+    rules = {"key": F.col("k").isNotNull(), "flag": F.col("flag").isin("a", "b")}
+    report = load_checked(df.withColumn("k", seen("k")), rules, good, aside, max_bad=3, expected_rows=5)
+    assert (report.rows, report.rejected, report.failures) == (5, 3, {"key": 2, "flag": 2}) and read.value == 5
+    assert rows(spark.read.parquet(good)) == [(1, "a"), (5, "b")]
+    assert rows(spark.read.parquet(aside)) == sorted([(None, "a", ["key"]), (3, "x", ["flag"]), (None, None, ["key", "flag"])], key=repr)
+    with pytest.raises(TooManyBadRows, match="3 of 5 rows"):
+        load_checked(df, rules, good, aside, max_bad=2)
+    with pytest.raises(ValueError, match="6 were expected"):
+        load_checked(df, rules, good, aside, max_bad=3, expected_rows=6)
+    assert spark.read.parquet(good).count() == 2 and spark.read.parquet(aside).count() == 3
+    assert load_checked(df.limit(0), rules, good, aside).rows == 0
+    assert load_checked(df, {}, good, aside).rejected == 0

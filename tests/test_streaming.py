@@ -189,3 +189,14 @@ def test_event_lines_are_read_once(spark, rows):
     spark.createDataFrame([('{"id": ',)], "value string").write.text(f"{inbox}/broken")
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
         run()
+
+
+def test_rows_behind_the_watermark_go_aside(spark, rows):
+    on_time, late, marks = (fresh_dir(spark, n) for n in ("on_time", "late", "marks"))
+    write = st.split_late(on_time, late, marks, "t", "5 seconds")
+    batches = [events(spark, (1, 100), (2, 0)), events(spark, (3, 94), (4, 95), (5, 120)), events(spark, (6, 114), (7, 115)),
+               events(spark, (0, 0)).limit(0), events(spark, (8, 10)).union(spark.createDataFrame([(9, None)], "k int, t timestamp_ntz"))]
+    for i in (0, 1, 1, 2, 1, 3, 4):  # a batch that comes again is split as before
+        write(batches[i], i)
+    assert rows(spark.read.parquet(f"{late}/*"), "k") == [(3,), (6,), (8,)]
+    assert rows(spark.read.parquet(f"{on_time}/*"), "k") == [(1,), (2,), (4,), (5,), (7,), (9,)]
