@@ -49,7 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
     Returns ``node`` and ``component`` (its smallest node) for every node that has an edge to another one.
     Large-star and small-star steps alternate until nothing changes; each round is landed and the one
     before it removed, so neither the lineage nor the disk grows with the rounds. Minima have a map-side
-    part; the joins on a node with very many edges are split by adaptive execution.
+    part. They are landed before edges meet them, so both sides of a join come straight from a shuffle and adaptive
+    execution can split the edges of a node that has very many.
     """
     spark = edges.sparkSession
     edges = edges.where("a != b").select(
@@ -59,15 +60,16 @@ def components(edges: DataFrame) -> DataFrame:
     while (now := _state(edges)) != before:
         before = now
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(least, "a").where("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct())
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least, least_path = land(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large, large_path = land(both.join(least, "a").where("b > a")
+                                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct(), "large-star")
+        small_least, small_path = land(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(small_least, "a")
         star = (small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                .union(small.select("a", F.col("m").alias("b"))).distinct())
+                .union(small_least.select("a", F.col("m").alias("b"))).distinct())
         after, new_path = land(star, "edges")
-        discard(spark, path)
+        for old in (path, least_path, large_path, small_path):
+            discard(spark, old)
         edges, path = after, new_path
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))

@@ -142,9 +142,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The components are those of the fingerprints themselves; ids come in afterwards, so a null or shared
     # id cannot join or part them.
     groups = components(links)
-    smallest = (classes.join(groups, F.col("fp") == F.col("node"), "left")
-                .select("fp", "first", F.coalesce("component", "fp").alias("root")))
-    least = smallest.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Both sides of the join are landed, so that a component of very many fingerprints can be split.
+    smallest, _ = land(classes.join(groups, F.col("fp") == F.col("node"), "left")
+                       .select("fp", "first", F.coalesce("component", "fp").alias("root")), "fingerprint-roots")
+    least, _ = land(smallest.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     named = smallest.join(least, "root").select("fp", "component_id")
     return (prints.join(named, "fp")
             .select("doc_id", F.col("fp").alias("fingerprint"), "component_id"))
