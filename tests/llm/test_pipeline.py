@@ -64,3 +64,22 @@ def test_each_stage_does_its_work_on_planted_cases(spark, tmp_path):
     assert set(seen[NAMES[4]]) == set(seen[NAMES[3]]) and lines.MIN_WORDS < 50
     whole = corpus_pipeline.run(spark, d).collect()
     assert sorted(map(repr, whole)) == sorted(map(repr, seen[NAMES[4]].values()))
+
+
+def test_empty_tables_repeated_rows_and_clashing_columns(spark, tmp_path):
+    import hashlib
+    d = str(tmp_path / "t")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, d).count() == 0
+    # A column called as the classifier's own, and rows that come twice, through every stage.
+    rows = [(1, "a plain text of some words", "en", "s", 26, 7.5)] * 2 + [(2, None, "en", "s", 0, None)] * 2
+    at = spark.createDataFrame(rows, schema + ", score double")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        at = stage(spark, at, d)
+        assert at.schema.names[-1] == "score" and sorted(r.score or 0 for r in at.collect()) == [0, 0, 7.5, 7.5]
+    out = corpus_pipeline.STAGES[-1][1](spark, at.drop("score"), d).collect()
+    assert sorted(r.n_tokens for r in out)[:2] == [0, 0] and len(out) == 4
+    assert {r.decoded_sha256 for r in out if r.doc_id == 2} == {hashlib.sha256(b"").hexdigest()}
