@@ -6,11 +6,14 @@ lines in a row. Long lines are always fingerprints; of the other grams, those th
 three. Any repeated passage of more than 50 words made of whole lines has a fingerprint in every copy: it holds a
 long line, or five shorter lines and so three grams.
 
-Every fingerprint's first place (by document id, then place) is its source. Later places are matched with the
-source and extended line by line both ways; fingerprints lie so close that ``REACH`` lines are always enough to
-arrive at the next one or at the end of the passage. Runs of matched lines are deleted if they hold enough words.
-No pair of copies is ever made: each place meets one source. Both sides of every join grow with the documents, so all are
-merge joins, at any size: what a broadcast would save on few documents says nothing about many.
+Fingerprints that stand at more than one place are matched by a join. Matches are extended both ways line by line: a
+*link* is a line and the next one, or a long line alone, and all links within ``BEFORE`` and ``AFTER`` lines of a repeated
+fingerprint are joined in turn. A repeated passage has a fingerprint within that reach of each of its lines, at every
+one of its places, so all its links are there, and each meets its first place wherever that is: the parts of a passage
+may have their first places in different documents. Lines of links that have an earlier place are matched; runs of
+them are deleted if they hold enough words. No pair of copies is ever made: each link meets one first place, which is a
+minimum with a map side, and no document gathers its copies. Both sides of every join grow with the documents, so all
+are merge joins, at any size: what a broadcast would save on few documents says nothing about many.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import discard, land
 
 LONG_LINE = 12
-REACH = 6
+#: How far the first line of a passage lies before a fingerprint in it at most, and its last line behind one's first line.
+BEFORE = 3
+AFTER = 4
 #: A matched run of fewer words stays: short repeated phrases are ordinary text.
 MIN_WORDS = 25
 #: Marks the end of a line for the fast split; texts that hold it themselves are split by pattern.
@@ -54,39 +59,35 @@ def _fingerprints(lines: DataFrame) -> DataFrame:
             .select("d", "t", F.expr(f"inline({chosen})")))
 
 
-def _sources(grams: DataFrame) -> DataFrame:
-    """(g, s): the first place of every gram that occurs more than once."""
-    return (grams.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "p")).alias("s"))
-            .where("n > 1").select("g", "s"))
+def _repeated(grams: DataFrame) -> DataFrame:
+    """(g): the grams that stand at more than one place."""
+    return grams.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
 
 
-def _matched_lines(lines: DataFrame, grams: DataFrame, sources: DataFrame) -> DataFrame:
+def _links(lines: DataFrame, grams: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(k, d, t, p, n, m): links ``k`` near repeated grams, by the place ``p`` of their first line, with the word counts of
+    that line and the next (null: a long line alone)."""
+    seeds = grams.join(repeated.hint("merge"), "g").groupBy("d", "t").agg(F.collect_set("p").alias("seeds"))
+    near = (f"array_distinct(flatten(transform(seeds, s -> "
+            f"sequence(greatest(s - {BEFORE}, 0), least(s + {AFTER}, size(h) - 1)))))")
+    pair = "if(i + 1 < size(h), struct(xxhash64(h[i], get(h, i + 1)) as k, i as p, w[i] as n, get(w, i + 1) as m), null)"
+    alone = f"if(w[i] >= {LONG_LINE}, struct(xxhash64(h[i]) as k, i as p, w[i] as n, cast(null as int) as m), null)"
+    return (seeds.join(lines.hint("merge"), ["d", "t"]).withColumn("near", F.expr(near))
+            .select("d", "t", F.expr(f"inline(filter(flatten(transform(near, i -> array({pair}, {alone}))), "
+                                     "s -> s is not null))")))
+
+
+def _firsts(links: DataFrame) -> DataFrame:
+    """(k, s): the first place of every link that occurs more than once."""
+    return (links.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("d", "t", "p")).alias("s"))
+            .where("c > 1").select("k", "s"))
+
+
+def _matched_lines(links: DataFrame, firsts: DataFrame) -> DataFrame:
     """(d, t, p, n): places of lines that repeat earlier ones, with their word counts."""
-    later = grams.join(sources.hint("merge"), "g").where("struct(d, t, p) != s")
-    seeds = (later.groupBy("d", "t", F.col("s.d").alias("e"), F.col("s.t").alias("u"))
-             .agg(F.collect_set(F.struct("p", F.col("s.p").alias("q"))).alias("seeds"),
-                  F.min("p").alias("low"), F.max("p").alias("high")))
-    # Of the later document only the stretch around its seeds travels on to the source.
-    here = (seeds.join(lines.hint("merge"), ["d", "t"])
-            .withColumn("base", F.greatest(F.col("low") - REACH, F.lit(0)))
-            .withColumn("own", F.slice("h", F.col("base") + 1, F.col("high") - F.col("base") + 3 + REACH))
-            .withColumn("words", F.slice("w", F.col("base") + 1, F.col("high") - F.col("base") + 3 + REACH))
-            .drop("h", "w"))
-    source = lines.select(F.col("d").alias("e"), F.col("t").alias("u"), F.col("h").alias("there"), F.col("w").alias("counts"))
-
-    def run(step: str, first: str) -> str:
-        """Equal lines in a row from ``first`` steps on, ``REACH`` at most."""
-        here, there = f"s.p - base {step} ({first} + j)", f"s.q {step} ({first} + j)"
-        same = (f"coalesce(get(own, {here}) = get(there, {there}) and get(words, {here}) = get(counts, {there}), false)")
-        ends = f"array_position(transform(sequence(0, {REACH - 1}), j -> {same}), false)"
-        return f"if({ends} = 0, {REACH}, cast({ends} - 1 as int))"
-    gram = f"if(get(words, s.p - base) >= {LONG_LINE}, 1, 3)"
-    spans = (f"transform(seeds, s -> struct(s.p - base - {run('-', '1')} as a, "
-             f"s.p - base + {gram} + {run('+', gram)} as b))")
-    return (here.join(source.hint("merge"), ["e", "u"])
-            .select("d", "t", "base", "words", F.explode(F.expr(
-                f"array_distinct(flatten(transform({spans}, x -> sequence(x.a, x.b - 1))))")).alias("i"))
-            .select("d", "t", (F.col("base") + F.col("i")).alias("p"), F.expr("words[i]").alias("n")).distinct())
+    later = links.join(firsts.hint("merge"), "k").where("struct(d, t, p) != s")
+    both = "if(m is null, array(struct(p as p, n as n)), array(struct(p as p, n as n), struct(p + 1 as p, m as n)))"
+    return later.select("d", "t", F.expr(f"inline({both})")).distinct()
 
 
 def _runs(matched: DataFrame, min_words: int) -> DataFrame:
@@ -103,12 +104,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """All columns of ``docs`` with the repeated runs cut out of the text, and ``removed_lines`` and
     ``removed_words`` (bigints; columns of those names are replaced).
 
-    A run of lines goes if each of its lines stands in a stretch that occurred earlier (in a document with a
-    smaller id, or before it in the same one) and the run has ``min_words`` words or more; what remains keeps its
-    spelling and order, and the first occurrence is never touched. Lines are compared without the blanks around
+    A run of lines goes if each of its lines occurred earlier (in a document with a smaller id, or before it in the same
+    one) next to a neighbour it has in the run, or is a long line that occurred earlier, and if the run has ``min_words`` words
+    or more; what remains keeps its spelling and order, and first occurrences are never touched. Only the surroundings of
+    repeated fingerprints are looked at, so runs of 50 words or fewer may stay. Lines are compared without the blanks around
     them. A text all of whose lines are repeated becomes empty, its row stays. Null texts stay null, empty ones
     empty. Rows that agree in id and text count as one document and are treated alike; rows without an id come
-    last. A passage may be spread over thousands of documents: each meets the first one only. Empty tables stay
+    last. A passage may be spread over thousands of documents: each place meets the first one only. Empty tables stay
     empty.
     """
     outputs = {"removed_lines", "removed_words"}
@@ -119,12 +121,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.xxhash64(text).alias("t"), text.alias("text"),
                        F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
     lines, lines_path = land(_line_table(rows.where("text != ''")), "lines")
-    # Landed, so that the join of the grams has plain shuffles on both sides, whose hot keys can be split.
-    sources, sources_path = land(_sources(_fingerprints(lines)), "line-sources")
-    matched = _matched_lines(lines.dropDuplicates(["d", "t"]), _fingerprints(lines), sources)
-    runs, _ = land(_runs(matched, min_words), "line-runs")
-    discard(docs.sparkSession, lines_path)
-    discard(docs.sparkSession, sources_path)
+    # Landed, so that the joins have plain shuffles on both sides, whose hot keys can be split.
+    repeated, repeated_path = land(_repeated(_fingerprints(lines)), "line-grams")
+    links, links_path = land(_links(lines.dropDuplicates(["d", "t"]), _fingerprints(lines), repeated), "line-links")
+    for path in (lines_path, repeated_path):
+        discard(docs.sparkSession, path)
+    firsts, firsts_path = land(_firsts(links), "line-firsts")
+    runs, _ = land(_runs(_matched_lines(links, firsts), min_words), "line-runs")
+    for path in (links_path, firsts_path):
+        discard(docs.sparkSession, path)
     pieces = _PIECES.format("text")
     before = "transform(runs, (r, i) -> struct(if(i = 0, 0, get(runs, i - 1).b) as a, r.a as b))"
     rest = f"concat({before}, array(struct(element_at(runs, -1).b as a, size(pieces) as b)))"
