@@ -35,6 +35,8 @@ from .common import text_slices
 SAMPLED = 4
 REPETITIONS = 8
 MAX_WINDOW = 16
+#: Items of fewer words than three windows of this size have few windows, so that each is walked twice as often.
+SMALL_WINDOW = 4
 #: Items are taken in blocks of about so many characters; the index of one block is broadcast.
 BLOCK_CHARS = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -143,7 +145,7 @@ class ItemIndex:
             own = [i for i, w in enumerate(self.words) if size_class(len(w))[0] == size]
             item = np.concatenate([np.full(len(self.words[i]) - size + 1, i) for i in own])
             offset = np.concatenate([np.arange(len(self.words[i]) - size + 1) for i in own])
-            for r in range(repetitions):
+            for r in range(2 * repetitions if size <= SMALL_WINDOW else repetitions):
                 walk = Walk(size, r, seed)
                 keys = walk.keys(flat, begins[item] + offset)
                 order = np.argsort(keys, kind="stable")

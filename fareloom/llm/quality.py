@@ -96,7 +96,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS, epochs: int = 3, seed: int = 1) -> np.ndarray:
     """The table of weights, learnt from labelled rows of the training fold.
 
-    A document with several labels is learnt with its largest; null labels and ids are left out. Features are
+    A document with several labels is learnt with its largest, one with several texts with the least; null labels and ids
+    are left out. Features are
     made where the documents lie; the rows of the bounded sample meet in one task, which learns from them in an
     order that their hashes decide. No labelled row: all weights are zero.
     """
@@ -130,7 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                          pa.schema([("w", pa.binary())]))
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sample = (texts.join(known, "id").withColumn("draw", draw)
+    # One row per id (the least text) before features are made: an id with very many rows is still one row to learn from.
+    sample = (texts.join(known, "id").groupBy("id", "label").agg(F.min("text").alias("text")).withColumn("draw", draw)
               .select("draw", "label", vector("text").alias("x")))
     found = sample.repartition(1).mapInArrow(fit, "w binary").collect()
     return np.frombuffer(found[0].w, "<f4") if found else np.zeros((1 << BITS) + 1, "<f4")

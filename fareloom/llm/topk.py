@@ -32,15 +32,21 @@ _EXACT = float(1 << 53)
 
 def quantised(vector: Column) -> Column:
     """floor(1024 x) of each component as packed 64-bit integers; null for null or empty vectors and those with
-    a null or non-finite component or one whose result has 62 bits or more."""
+    a null or non-finite component. A finite component whose result has 62 bits or more is an error: no score of its
+    row need fit into 64 bits, and leaving the row out would change the others' ranks unseen."""
     @F.arrow_udf("binary")
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in batches:
             out = []
             for v in vectors:
                 x = np.array(v.values.to_numpy(zero_copy_only=False), np.float64) if v.is_valid else np.zeros(0)
+                if not len(x) or not np.isfinite(x).all():
+                    out.append(None)
+                    continue
                 q = np.floor(SCALE * x)
-                out.append(q.astype("<i8").tobytes() if len(q) and np.all(np.abs(q) < 1 << 62) else None)
+                if np.abs(q).max() >= 1 << 62:
+                    raise ValueError(f"component {x[np.abs(x).argmax()]} is too large for integer scores")
+                out.append(q.astype("<i8").tobytes())
             yield pa.array(out, pa.binary())
     return pack(vector.cast("array<double>"))
 

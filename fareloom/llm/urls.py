@@ -41,13 +41,14 @@ class Trie:
             host, path = split_rule(rule)
             node = self.root
             for label in reversed(host.split(".")):
-                node = node[0].setdefault((label,), [{}, None, {}])
+                node = node[0].setdefault((label,), [{}, None, {}, set()])
             found = (len(rule), len(host), verdict == "block", rule, verdict)
             if path:
                 *folders, last = path.split("/")[1:]
                 for folder in folders:
-                    node = node[0].setdefault(folder, [{}, None, {}])
+                    node = node[0].setdefault(folder, [{}, None, {}, set()])
                 node[2][last] = max(found, node[2].get(last, found))
+                node[3].add(len(last))
             else:
                 node[1] = max(found, node[1] or found)
 
@@ -62,9 +63,9 @@ class Trie:
                 best = node[1]
             folder = node
             for segment in segments:
-                for end, found in folder[2].items() if len(folder[2]) < 8 else (
-                        (segment[:n], folder[2].get(segment[:n])) for n in range(len(segment) + 1)):
-                    if found and segment.startswith(end) and (best is None or found > best):
+                for n in folder[3]:  # only lengths that rules have: a long segment costs no more than a short one
+                    found = folder[2].get(segment[:n]) if n <= len(segment) else None
+                    if found and (best is None or found > best):
                         best = found
                 folder = folder[0].get(segment)
                 if folder is None:

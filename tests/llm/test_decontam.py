@@ -85,7 +85,7 @@ def test_blocks_of_items_give_the_same(spark, corpus, monkeypatch):
     assert sorted(r.doc_id for r in clean.collect()) == sorted({d for d, _ in docs} - {r[0] for r in one})
 
 
-@pytest.mark.parametrize("length, passages", [(23, 60), (57, 40), (100, 30), (400, 12), (1000, 6)])
+@pytest.mark.parametrize("length, passages", [(5, 300), (6, 100), (8, 100), (10, 100), (23, 60), (57, 40), (100, 30), (400, 12), (1000, 6)])
 def test_recall_at_the_limit_does_not_fall_with_length(length, passages):
     rng = random.Random(length)
     vocabulary = ["".join(rng.choices("aeinorstlm", k=rng.randint(3, 9))) for _ in range(3000)]

@@ -57,3 +57,12 @@ def test_nothing_to_learn_or_to_score(spark):
     assert [(r.score, r.predicted) for r in quality.classify(docs, none).collect()] == [(0.5, 1)]
     assert quality.classify(docs.limit(0), none).collect() == []
     assert np.array_equal(quality.features(b"", {})[0], [])
+
+
+def test_an_id_with_very_many_rows_is_learnt_once(spark):
+    rows = corpus(random.Random(4), 120)
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    once = quality.train(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), labels)
+    hot = next(i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5)
+    again = [(i, t) for i, t, _ in rows] + [(hot, rows[hot][1])] * 500 + [(hot, "~ " + rows[hot][1]), (hot, None)]
+    assert np.array_equal(quality.train(spark.createDataFrame(again, "doc_id long, text string"), labels), once)

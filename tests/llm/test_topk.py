@@ -73,3 +73,9 @@ def test_nothing_to_search(spark):
     assert topk.top_k(df, F.col("vec_id") % 100 == 0).collect() == []
     assert topk.top_k(df.limit(0), F.lit(True)).collect() == []
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") == 1).collect()] == [(1, 1, 2, 1024 * 2048)]
+
+
+def test_a_component_beyond_all_scores_is_an_error(spark):
+    rows = spark.createDataFrame([(1, [1.0]), (100, [3e38])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="too large for integer scores"):
+        rows.select(topk.quantised(F.col("embedding"))).collect()

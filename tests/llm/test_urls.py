@@ -54,3 +54,10 @@ def test_hosts_and_paths_stay_as_long_as_they_are(spark):
     long = "http://" + "a." * 3000 + "net/" + "p/" * 50_000
     row = urls.judge_urls(spark.createDataFrame([(1, long)], "page_id long, url string"), RULES).first()
     assert row.verdict == "block" and len(row.path) == 100_001
+
+
+def test_a_very_long_segment_among_many_rules():
+    trie = urls.Trie([(f"a.net/{'x' * n}", "block") for n in range(1, 30)] + [("a.net/" + "x" * 400, "allow")])
+    assert trie.match("a.net", "/" + "x" * 1_000_000) == ("a.net/" + "x" * 400, "allow")
+    assert trie.match("a.net", "/xx" + "y" * 1_000_000) == ("a.net/xx", "block")
+    assert trie.match("a.net", "/y") is None
