@@ -50,6 +50,16 @@ def top_repos(spark, sf_dir):
     return act.most_active(flat(spark, sf_dir), "repo_name", LOW, HIGH)
 
 
+@query("top_users_of_many", _top_sql("actor_login"))
+def top_users_of_many(spark, sf_dir):
+    return act.most_active_of_many(flat(spark, sf_dir), "actor_login", LOW, HIGH)
+
+
+@query("top_repos_of_many", _top_sql("repo_name"))
+def top_repos_of_many(spark, sf_dir):
+    return act.most_active_of_many(flat(spark, sf_dir), "repo_name", LOW, HIGH)
+
+
 @query("daily_events", f"""
 WITH {EVENTS_SQL} SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS count
 FROM activity WHERE {_INSIDE} GROUP BY 1 ORDER BY 1""")

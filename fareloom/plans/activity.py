@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import day, floor_second, naive_utc, repo_link, repo_url
 from ..operators.aggregates import count_by, top_k
 from ..operators.filters import Day, between_days, flatten, last_days, where_eq
+from ..operators.heavy import top_k_by_count
 from ..operators.merges import append_new, upsert
 
 # The nested fields and their cleaned names.
@@ -59,6 +60,12 @@ def most_active(cleaned: DataFrame, column: str, low: Day, high: Day, k: int = 1
     return top_k(counts, "count", k, [column])
 
 
+def most_active_of_many(cleaned: DataFrame, column: str, low: Day, high: Day, k: int = 10) -> DataFrame:
+    """``most_active`` for so many users or repositories that counting all of them would shuffle the table: by sketch,
+    recount and proof. Runs at once; the result is stored in the shared folder."""
+    return top_k_by_count(between_days(cleaned, "created_at", low, high), column, k)
+
+
 def daily_events(cleaned: DataFrame, low: Day, high: Day, event_type: str | None = None
                  ) -> DataFrame:
     inside = between_days(cleaned, "created_at", low, high)

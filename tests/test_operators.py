@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from fareloom.operators import aggregates as agg
 from fareloom.operators import filters as flt
-from fareloom.operators import joins, merges, percentiles, quality, sessions, windows
+from fareloom.operators import heavy, joins, merges, percentiles, quality, sessions, windows
 
 few = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -411,3 +411,33 @@ def test_sketches_of_days_are_united(spark):
         found = aggregates.distinct_between(sketches, "day", first, last).first()[0]
         assert abs(found - exact) <= aggregates.SKETCH_ERROR * exact
     assert aggregates.distinct_between(sketches, "day", "2030-01-01", "2030-01-02").first()[0] == 0
+
+
+@pytest.mark.parametrize("tracked, proven", [(4000, True), (100, False)])
+def test_top_k_of_very_many_keys(spark, monkeypatch, tracked, proven):
+    """Heavy keys among 30,000 light ones; too small a sketch cannot prove them, and all keys are counted."""
+    rows = spark.range(90_000, numPartitions=6).select(F.expr(
+        "case when id % 10 < 3 then concat('heavy', id % 7) when id % 100 = 9 then null else concat('k', id % 30000) end as key"))
+    want = agg.top_k(agg.count_by(rows, ["key"]), "count", 7, ["key"]).collect()
+    full = []
+    monkeypatch.setattr(heavy, "count_by", lambda df, *a, **k: full.append(df) or agg.count_by(df, *a, **k))
+    got = heavy.top_k_by_count(rows, "key", 7, tracked).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert len(full) == (1 if proven else 2)
+
+
+def test_top_k_by_count_of_ties_few_keys_and_nothing(spark):
+    flat = spark.range(4000).select((F.col("id") % 400).alias("key"))
+    assert [tuple(r) for r in heavy.top_k_by_count(flat, "key", 3).collect()] == [(0, 10), (1, 10), (2, 10)]
+    few = spark.createDataFrame([(1,), (1,), (None,)], "key int")
+    assert [tuple(r) for r in heavy.top_k_by_count(few, "key", 5).collect()] == [(1, 2), (None, 1)]
+    assert heavy.top_k_by_count(few.where("false"), "key", 5).collect() == []
+    with pytest.raises(ValueError, match="tracked"):
+        heavy.top_k_by_count(few, "key", 5000)
+
+
+def test_candidates_and_their_bound(spark):
+    rows = spark.range(50_000, numPartitions=5).select(F.expr("if(id % 4 = 0, id % 16, id)").alias("key"))
+    items, bound = heavy.heavy_candidates(rows, "key", 20, 1000)
+    counts = {r.key: r["count"] for r in rows.groupBy("key").count().collect()}
+    assert set(items) >= {0, 4, 8, 12} and max(n for k, n in counts.items() if k not in items) <= bound
