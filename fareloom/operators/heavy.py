@@ -27,10 +27,13 @@ def heavy_candidates(df: DataFrame, key: str, wanted: int, tracked: int = TRACKE
              .groupBy(F.pmod(F.spark_partition_id(), F.lit(TASK_GROUPS)).alias("tasks"))
              .agg(F.call_function("approx_top_k_accumulate", F.col(key), F.lit(tracked)).alias("state"),
                   F.count(F.lit(1)).alias("n")))
+    # A second level of groups, by a constant, so that no rows give no group: sketches of nothing cannot be combined.
     state = F.call_function("approx_top_k_combine", F.col("state"), F.lit(tracked))
-    found, rows = parts.agg(F.call_function("approx_top_k_estimate", state, F.lit(wanted)), F.sum("n")).first()
-    if rows is None:
+    top = parts.groupBy(F.lit(0).alias("all")).agg(
+        F.call_function("approx_top_k_estimate", state, F.lit(wanted)).alias("found"), F.sum("n").alias("rows")).first()
+    if top is None:
         return [], 0.0
+    found, rows = top["found"], top["rows"]
     estimates = [r["count"] for r in found]
     last = estimates[-1] if len(estimates) == wanted else 0
     return [r["item"] for r in found], max(last, 2 * 3.5 * 0.75 * rows / tracked)
