@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import numpy as np
@@ -59,3 +60,54 @@ def test_fewer_rows_than_shards_and_none(spark):
     out = sharding.shuffle_into_shards(spark.range(3), 8)
     assert sorted((r.shard, r.slot) for r in out.collect()) == [(0, 0), (1, 0), (2, 0)]
     assert sharding.shuffle_into_shards(spark.range(0), 8).collect() == []
+
+
+@pytest.mark.parametrize("fan", [3, 1000])
+def test_rows_dealt_in_steps_are_whole(spark, fan, monkeypatch):
+    """Several exchanges, with blocks of at most 8 rows and cells of at most 2."""
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", 8)
+    rows = [(i % 50, "t" * (i % 9)) for i in range(103)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = sharding.shuffle_into_shards(df, 5, seed=4, cell_rows=2, fan=fan)
+    assert out.columns == ["doc_id", "text", "shard", "slot"]
+    got = out.collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(5) for k in range(21 if s < 3 else 20)]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, got))
+
+
+def test_places_are_even_when_dealt_in_steps(spark):
+    """The steps by hand, for 3 groups of parts: every row of every block reaches every cell equally often."""
+    cells, counts = np.full(6, 4), np.zeros((24, 6))
+    for seed in range(3000):
+        first = sharding.Deal(seed, 0, [(0, 0, 0, 4), (0, 1, 0, 20)], np.add.reduceat(cells, [0, 2, 4]), 3)
+        parts = np.concatenate([first.labels(0, b)[0] for b in (0, 1)])
+        held = [np.flatnonzero(parts == g) for g in range(3)]
+        second = sharding.Deal(seed, 1, [(g, b, 4 * b, 4) for g in range(3) for b in (0, 1)], cells, 2)
+        for g in range(3):
+            for b in (0, 1):
+                labels, lots, start = second.labels(g, b)
+                assert len(labels) == len(lots) == 4 and start == 4 * b
+                counts[held[g][start:start + 4], labels] += 1
+    assert counts.sum(axis=1).tolist() == [3000] * 24
+    assert np.abs(counts / 500 - 1).max() < 0.2
+
+
+def test_cells_shrink_with_long_rows(spark, monkeypatch):
+    """Cells of at most 1,000 bytes on the average: 40 rows of 401 bytes lie two in a cell."""
+    monkeypatch.setattr(sharding, "CELL_BYTES", 1000)
+    seen = []
+    dealt = sharding._dealt
+    monkeypatch.setattr(sharding, "_dealt", lambda rows, deal: seen.append(deal.parts) or dealt(rows, deal))
+    df = spark.range(40).selectExpr("id", "repeat('x', 400) AS text")
+    assert len(sharding.shuffle_into_shards(df, 2).collect()) == 40
+    assert seen[-1].tolist() == [2] * 20
+
+
+def test_a_row_of_the_matrix_is_quick_at_many_blocks():
+    ends = np.cumsum(np.full(100_000, 16_000))
+    cells = np.full(sharding.FAN, 16_000 * 100_000 // sharding.FAN)
+    cells[: int(ends[-1] - cells.sum())] += 1
+    started = time.perf_counter()
+    assert sharding.matrix_row(1, ends, cells, 77_777).sum() == 16_000
+    assert time.perf_counter() - started < 0.5  # about a tenth of it on an idle machine
