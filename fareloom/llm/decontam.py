@@ -27,10 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import discard, land, text_slices
 
 SAMPLED = 4
 REPETITIONS = 8
@@ -230,20 +231,22 @@ class ItemIndex:
         return [[(self.ids[i], e, a, b) for i, e, a, b in (d[i] for i in sorted(d))] for d in best]
 
 
-def indexes(items: DataFrame, id_col: str, text_col: str, similarity: float, repetitions: int, seed: int) -> list:
-    """Broadcast indexes of the items, in blocks of bounded size."""
+def indexes(items: DataFrame, id_col: str, text_col: str, similarity: float, repetitions: int,
+            seed: int) -> tuple[int, Iterator[Broadcast]]:
+    """The number of blocks of bounded size that hold the items, and their broadcast indexes, each made when it is asked for."""
     spark: SparkSession = items.sparkSession
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_CHARS))
     block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
-    out = []
-    for b in range(blocks):
-        held = sorted(map(tuple, rows.where(block == b).distinct().collect()), key=lambda r: (r[0] is None, r))
-        index = ItemIndex(held, similarity, repetitions, seed)
-        if index.ids:
-            out.append(spark.sparkContext.broadcast(index))
-    return out
+
+    def made() -> Iterator[Broadcast]:
+        for b in range(blocks):
+            held = sorted(map(tuple, rows.where(block == b).distinct().collect()), key=lambda r: (r[0] is None, r))
+            index = ItemIndex(held, similarity, repetitions, seed)
+            if index.ids:
+                yield spark.sparkContext.broadcast(index)
+    return blocks, made()
 
 
 def leaks_column(text: Column, index) -> Column:
@@ -270,11 +273,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     of the text's words; case and punctuation do not count. Null, empty and wordless texts and items match
     nothing. Equal items under several ids are all reported; an item repeated with its id once. Repeated
     documents are reported as often as they occur, null ids as null. Long texts are searched whole. Only the
-    named columns are read, and empty tables on either side give an empty result.
+    named columns are read, and empty tables on either side give an empty result. Items of more than ``BLOCK_CHARS``
+    characters are searched block by block; each block's leaks are landed and its index is freed before the next is made,
+    so memory does not grow with the items, but the documents are read once for each block.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    parts = [rows.select("doc_id", F.inline(leaks_column(F.col("text"), index)))
-             for index in indexes(items, item_id_col, item_text_col, similarity, repetitions, seed)]
+    blocks, made = indexes(items, item_id_col, item_text_col, similarity, repetitions, seed)
+    parts = []
+    for index in made:
+        part = rows.select("doc_id", F.inline(leaks_column(F.col("text"), index)))
+        if blocks > 1:
+            part, _ = land(part, "leaks")
+            index.destroy()
+        parts.append(part)
     if not parts:
         return rows.select("doc_id", F.expr("inline(cast(array() as array<struct<item_id: bigint, edits: int, "
                                             "first_word: int, end_word: int>>))"))
@@ -287,8 +298,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                item_text_col: str = "text", similarity: float = 0.8, repetitions: int = REPETITIONS,
                seed: int = 7) -> DataFrame:
-    """The rows of ``docs``, all columns, in whose text no item is found."""
-    out = docs
-    for index in indexes(items, item_id_col, item_text_col, similarity, repetitions, seed):
+    """The rows of ``docs``, all columns, in whose text no item is found.
+
+    Items of more than ``BLOCK_CHARS`` characters are searched block by block; what each leaves is landed for the next."""
+    blocks, made = indexes(items, item_id_col, item_text_col, similarity, repetitions, seed)
+    out, path = docs, None
+    for index in made:
         out = out.where(F.size(leaks_column(F.col(text_col), index)) == 0)
+        if blocks > 1:
+            before = path
+            out, path = land(out, "without-leaks")
+            index.destroy()
+            if before:
+                discard(docs.sparkSession, before)
     return out

@@ -62,8 +62,35 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "Apache-2.0-title": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ "
+        "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "GPL-2.0-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-3.0-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "LGPL-2.1-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "LGPL-3.0-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "AGPL-3.0-title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "MPL-2.0-title": "Mozilla Public License Version 2.0",
+    "EPL-2.0-title": "Eclipse Public License - v 2.0",
+    "BSL-1.0-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "CC-BY-4.0-title": "Creative Commons Attribution 4.0 International Public License",
+    "CC-BY-SA-4.0-title": "Creative Commons Attribution-ShareAlike 4.0 International Public License",
+    "Zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software.",
 }
 
+# Identifiers of the SPDX license list, as a source file names them behind its tag.
+IDENTIFIERS = (
+    "0BSD", "AFL-3.0", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-1.1", "Apache-2.0", "Artistic-2.0",
+    "BSD-2-Clause", "BSD-2-Clause-Patent", "BSD-3-Clause", "BSD-3-Clause-Clear", "BSD-4-Clause", "BSL-1.0", "CC-BY-3.0",
+    "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-SA-3.0", "CC-BY-SA-4.0",
+    "CC0-1.0", "CDDL-1.0", "CDDL-1.1", "CECILL-2.1", "EPL-1.0", "EPL-2.0", "EUPL-1.1", "EUPL-1.2", "GFDL-1.3-only",
+    "GFDL-1.3-or-later", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+    "ISC", "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0",
+    "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-1.1", "MPL-2.0", "MS-PL", "MS-RL", "MulanPSL-2.0", "NCSA",
+    "ODbL-1.0", "OFL-1.1", "OSL-3.0", "PostgreSQL", "Python-2.0", "Unlicense", "UPL-1.0", "Vim", "WTFPL", "Zlib")
+#: Templates of which every word must be met: a word less names another license.
+TAGS = {f"SPDX:{i}": f"SPDX-License-Identifier: {i}" for i in IDENTIFIERS}
+
 
 def _words(text: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
     """Words in lower case (A-Z) and their byte spans."""
@@ -118,14 +145,17 @@ def align(template: list[bytes], text: list[bytes], low: int, high: int) -> tupl
 class TemplateIndex:
     """The inverted index: sorted fingerprints with template and place."""
 
-    def __init__(self, templates: dict[str, str], coverage: float = 0.8):
-        self.names = sorted(templates)
-        self.words = [_words(templates[n].encode())[0] for n in self.names]
+    def __init__(self, templates: dict[str, str], coverage: float = 0.8, tags: dict[str, str] | None = None):
+        both = templates | (tags or {})
+        self.names = sorted(both)
+        self.words = [_words(both[n].encode())[0] for n in self.names]
+        #: Share of the words that each template needs; all of a tag's.
+        self.needs = [1.0 if n in (tags or {}) else coverage for n in self.names]
         if sum(map(len, self.words)) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"the templates hold more than {MAX_TEMPLATE_WORDS} words")
         entries: dict[int, list[tuple[int, int, int]]] = {GRAM: [], PAIR: []}
         for t, words in enumerate(self.words):
-            lacking = int((1 - coverage) * len(words) + 1e-9)
+            lacking = int((1 - self.needs[t]) * len(words) + 1e-9)
             if len(words) >= GRAM and len(words) - lacking <= (GRAM + WINDOW - 2) * (lacking + 1):
                 entries[PAIR] += [(int(g), t, p) for p, g in enumerate(_grams(words, {}, PAIR))]
             else:
@@ -171,12 +201,13 @@ class TemplateIndex:
         for size in self.tables:
             for t, low, high in self.candidates(_grams(words, known, size), size):
                 template, band = self.words[t], self.band(t)
+                least = max(coverage, self.needs[t]) * len(template)
                 start = max(0, low - band)
                 near = words[start:high + len(template) + band]
-                if sum(map(self.sets[t].__contains__, near)) < coverage * len(template):
+                if sum(map(self.sets[t].__contains__, near)) < least:
                     continue
                 matched, score, first, end = align(template, near, low - band - start, high + band - start)
-                if matched >= coverage * len(template):
+                if matched >= least:
                     found.append((-score, -matched / len(template), start + first, start + end, matched, t))
         taken, out = [], []
         for score, share, first, end, matched, t in sorted(found):
@@ -187,17 +218,20 @@ class TemplateIndex:
 
 
 def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = 0.8,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", tags: dict[str, str] | None = None) -> DataFrame:
     """One row per match: ``doc_id``, ``template``, ``coverage`` (share of the template's words that the text has
     in order), ``matched_words``, ``first_word`` and ``end_word``, ``first_byte`` and ``end_byte`` in the text.
 
+    ``templates`` match from ``coverage`` on, ``tags`` (a line that names a license by its identifier) only whole; without either
+    the built-in notices and tags are taken. Of an expression of several identifiers the first is reported.
     Of matches that overlap, the one with the highest alignment score stays, among equals the one with the higher
     coverage, then the first by place and name. Templates of fewer than three words have no fingerprint and match nothing. Where lacking words and inserted
     ones together leave no run of four words of a longer template, its fingerprints can miss the match. Null and
     empty texts match nothing; long texts are scanned whole; repeated rows and null ids are reported as they are;
     other columns are not read; an empty table gives an empty result.
     """
-    index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(TEMPLATES if templates is None else templates, coverage))
+    index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(
+        *((TEMPLATES, coverage, TAGS) if templates is None and tags is None else (templates or {}, coverage, tags))))
     fields = [("template", pa.string()), ("coverage", pa.float64()), ("matched_words", pa.int32()),
               ("first_word", pa.int32()), ("end_word", pa.int32()), ("first_byte", pa.int64()), ("end_byte", pa.int64())]
 

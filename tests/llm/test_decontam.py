@@ -121,3 +121,25 @@ def test_odd_rows(spark):
     assert decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), none).collect() == []
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert decontam.find_leaks(empty, spark.createDataFrame(items, "item_id long, text string")).collect() == []
+
+
+def test_one_index_at_a_time(spark, corpus, monkeypatch):
+    """With several blocks, an index is destroyed before the next one is made."""
+    items, docs = corpus
+    frames = (spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 3000)
+    held, most = [], []
+    broadcast, destroy = type(spark.sparkContext).broadcast, decontam.Broadcast.destroy
+
+    def counted(context, value):
+        made = broadcast(context, value)
+        if isinstance(value, decontam.ItemIndex):
+            held.append(made)
+            most.append(len(held))
+        return made
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    monkeypatch.setattr(decontam.Broadcast, "destroy", lambda b: (held.remove(b), destroy(b)))
+    clean = decontam.drop_leaks(*frames)
+    assert len(most) > 1 and set(most) == {1} and held == []
+    assert 0 < clean.count() < len(docs)

@@ -94,3 +94,26 @@ def test_every_one_edit_variant_of_short_notices_is_found():
                 assert any(name == n or m[2] >= plain[0] for m in index.find(text, 0.8, known) for n in m[:1]), (name, text)
     for text in (b"Released under MIT License", b"Released under an MIT License"):
         assert [m[0] for m in index.find(text, 0.8, known)] == ["MIT"]
+
+
+def test_tags_name_their_own_license_only(spark):
+    rows = [(i, f"/* x */\n// SPDX-License-Identifier: {n}\nint main") for i, n in enumerate(licenses.IDENTIFIERS)]
+    rows += [(900, "SPDX-License-Identifier: Foo-2.0-only"), (901, "SPDX-License-Identifier: GPL-4.0-only"), (902, "spdx license mit"),
+             (903, "SPDX-License-Identifier: Apache-9 OR none of 2 0"), (904, "# SPDX-License-Identifier: MIT OR Apache-2.0")]
+    got = {(r.doc_id, r.template, r.coverage) for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i, f"SPDX:{n}", 1.0) for i, n in enumerate(licenses.IDENTIFIERS)} | {(904, "SPDX:MIT", 1.0)}
+    own = licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string"), tags={"foo": "SPDX-License-Identifier: Foo-2.0"})
+    assert [(r.doc_id, r.template) for r in own.collect()] == [(900, "foo")]
+
+
+def test_titles_of_license_texts():
+    index, known = licenses.TemplateIndex(licenses.TEMPLATES, 0.8, licenses.TAGS), {}
+    for text, name in (
+            (b"                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989", "GPL-2.0-title"),
+            (b"GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright (C) 2007", "GPL-3.0-title"),
+            (b"GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n", "LGPL-3.0-title"),
+            (b"GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3, 19 November 2007\n\n", "AGPL-3.0-title"),
+            (b"Apache License\n Version 2.0, January 2004\n http://www.apache.org/licenses/\n\n TERMS AND CONDITIONS FOR USE, "
+             b"REPRODUCTION, AND DISTRIBUTION\n\n 1. Definitions.", "Apache-2.0-title"),
+            (b"Mozilla Public License Version 2.0\n====\n\n1. Definitions", "MPL-2.0-title")):
+        assert [m[0] for m in index.find(text, 0.8, known)] == [name]

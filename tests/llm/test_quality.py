@@ -1,7 +1,11 @@
+import math
 import random
+import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from fareloom.llm import quality
@@ -66,3 +70,56 @@ def test_an_id_with_very_many_rows_is_learnt_once(spark):
     hot = next(i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5)
     again = [(i, t) for i, t, _ in rows] + [(hot, rows[hot][1])] * 500 + [(hot, "~ " + rows[hot][1]), (hot, None)]
     assert np.array_equal(quality.train(spark.createDataFrame(again, "doc_id long, text string"), labels), once)
+
+
+def plain_features(text):
+    """Shares of words, word pairs, shapes and shape pairs, by plain loops over whole numbers."""
+    words = (text or "").encode().split()
+    shapes, mask, out = [], (1 << 64) - 1, defaultdict(float)
+    for k, w in enumerate(words):
+        shape = re.sub(rb"[0-9]+", b"0", re.sub(rb"[A-Z]+", b"A", re.sub(rb"[a-z\x80-\xff]+", b"a", w)))
+        shapes.append(b"=" if k and w.lower() == words[k - 1].lower() else shape)
+    streams = ([xxhash.xxh64_intdigest(w.lower(), 0) for w in words], [xxhash.xxh64_intdigest(x, 1) for x in shapes])
+    for hashes in streams:
+        pairs = [((a * 0x9E3779B97F4A7C15 & mask) ^ b) * 0x9E3779B97F4A7C15 & mask for a, b in zip(hashes, hashes[1:])]
+        for grams in (hashes, pairs):
+            for g in grams:
+                out[g >> 64 - quality.BITS] += 1 / len(grams)
+    return {k: float(np.float32(v)) for k, v in out.items()}
+
+
+def plain_scores(rows, labels, draws, epochs=3, alpha=0.5, beta=1.0, l1=0.02, l2=0.1):
+    """Follow the regularised leader over dictionaries, one coordinate at a time."""
+    z, n, constant = defaultdict(float), defaultdict(float), -1
+
+    def weight(k):
+        if abs(z[k]) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    def chance(x):
+        return 1 / (1 + math.exp(-min(max(sum(weight(k) * v for k, v in x.items()), -35), 35)))
+    known = [(draws[i], labels[i], plain_features(t) | {constant: 1.0}) for i, t in rows
+             if i in labels and zlib.crc32(str(i).encode()) % 5]
+    for epoch in range(epochs):
+        for _, label, x in sorted(known, key=lambda r: r[0] * (2 * epoch + 1) % (1 << 40)):
+            p = chance(x)
+            for k, v in x.items():
+                g, w = (p - label) * v, weight(k)
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha * w
+                n[k] += g * g
+    return {i: chance(plain_features(t) | {constant: 1.0}) for i, t in rows}
+
+
+def test_scores_equal_a_plain_learner(spark):
+    """The registered query on the whole of the smallest tables."""
+    from fareloom.llm.queries import QUERIES
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r.quality is not None}
+    draws = dict(map(tuple, docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40))).collect()))
+    want = plain_scores(rows, labels, draws)
+    got = {r.doc_id: r.score for r in QUERIES["op7_quality_classifier"](spark, sf_dir).collect()}
+    assert got.keys() == want.keys() and len(labels) > 30
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-4
