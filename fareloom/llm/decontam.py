@@ -43,6 +43,8 @@ BLOCK_CHARS = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _KNOWN = 200_000
+#: Up to so many pairs of item and word have a flag each.
+MAX_PAIRS = 1 << 22
 Leak = tuple[int, int, int, int]
 
 
@@ -69,23 +71,54 @@ class Walk:
         rng = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, size, repetition])))
         steps = max(1, 3 * size // 2)
         self.sampled = np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)).tolist()
+        self.looked_up = self.sampled[1:2] + self.sampled[-1:]
         self.odd = rng.integers(0, 1 << 63, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.size = size
 
-    def keys(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """A key for the window at each start. ``words`` has a zero behind each text, where the walk stays."""
-        at, key, here = starts.copy(), np.zeros(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    def keys(self, words: np.ndarray, starts: np.ndarray) -> dict[int, np.ndarray]:
+        """A key for the window at each start, by the step after which it is looked up: the key of the steps up to
+        it. ``words`` has a zero behind each text, where the walk stays."""
+        at, key, out = starts.copy(), np.zeros(len(starts), np.uint64), {}
         for j in range(self.sampled[-1] + 1):
-            words.take(at, out=here, mode="clip")
-            if j in self.sampled:
-                key = (key ^ here) * _MIX
-                key ^= key >> np.uint64(29)
-            here *= self.odd[j]
-            here >>= np.uint64(63)
-            at += here.view(np.int64)
+            key = self._step(j, words, at, key)
+            if j in self.looked_up:
+                out[j] = key
+        return out
+
+    def windows(self, words: np.ndarray, starts: np.ndarray, marks: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The places in ``starts`` of those windows that have a marked key at every step that is looked up, and their
+        last keys. Most windows leave half-way."""
+        at, key, left = starts.copy(), np.zeros(len(starts), np.uint64), np.arange(len(starts))
+        for j in range(self.sampled[-1] + 1):
+            key = self._step(j, words, at, key)
+            if j in self.looked_up:
+                on = np.flatnonzero(_marked(marks[j], key))
+                at, key, left = at[on], key[on], left[on]
+        return left, key
+
+    def _step(self, j: int, words: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+        here = words.take(at, mode="clip")
+        if j in self.sampled:
+            key = (key ^ here) * _MIX
+            key ^= key >> np.uint64(29)
+        here *= self.odd[j]
+        here >>= np.uint64(63)
+        at += here.view(np.int64)
         return key
 
 
+def _marks(keys: np.ndarray) -> np.ndarray:
+    """A table by the upper bits of a key: a key that is not marked is not among ``keys``, a marked one may be."""
+    bits = min(22, max(12, (16 * len(keys)).bit_length()))
+    out = np.zeros(1 << bits, bool)
+    out[keys >> np.uint64(64 - bits)] = True
+    return out
+
+
+def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return marks[(keys >> np.uint64(65 - len(marks).bit_length())).view(np.int64)]
+
+
 class Hashes(dict):
     """Hashes of words, made when first asked for; a task starts afresh when it holds too many."""
 
@@ -148,9 +181,11 @@ class ItemIndex:
             offset = np.concatenate([np.arange(len(self.words[i]) - size + 1) for i in own])
             for r in range(2 * repetitions if size <= SMALL_WINDOW else repetitions):
                 walk = Walk(size, r, seed)
-                keys = walk.keys(flat, begins[item] + offset)
+                by_step = walk.keys(flat, begins[item] + offset)
+                keys = by_step[walk.sampled[-1]]
                 order = np.argsort(keys, kind="stable")
-                self.tables.append((walk, stride, keys[order], item[order], offset[order]))
+                marks = {j: _marks(k) for j, k in by_step.items()}
+                self.tables.append((walk, stride, marks, keys[order], item[order], offset[order]))
 
     def _index_words(self, flat: np.ndarray, begins: np.ndarray) -> None:
         """Which words belong to which item: sorted word hashes, and sorted (item, word) pairs."""
@@ -159,6 +194,25 @@ class ItemIndex:
         word = np.searchsorted(self.vocabulary, flat[flat > 0])
         self.owned = np.unique(item * (len(self.vocabulary) + 1) + word)
         self.lengths = np.diff(begins) - 1
+        self.known = _marks(self.vocabulary)
+        # A small index has a flag for every pair of item and word; a larger one searches the pairs.
+        pairs = len(self.words) * (len(self.vocabulary) + 1)
+        self.owns = np.isin(np.arange(pairs), self.owned) if pairs <= MAX_PAIRS else None
+
+    def _codes(self, flat: np.ndarray) -> np.ndarray:
+        """The place of each word in the vocabulary, or the size of the vocabulary for other words."""
+        size = len(self.vocabulary)
+        code = np.full(len(flat), size)
+        maybe = np.flatnonzero(_marked(self.known, flat))
+        place = np.searchsorted(self.vocabulary, flat[maybe])
+        is_one = self.vocabulary[np.minimum(place, size - 1)] == flat[maybe]
+        code[maybe[is_one]] = place[is_one]
+        return code
+
+    def _own(self, pair: np.ndarray) -> np.ndarray:
+        if self.owns is not None:
+            return self.owns[pair]
+        return self.owned[np.minimum(np.searchsorted(self.owned, pair), len(self.owned) - 1)] == pair
 
     def _sharing(self, flat: np.ndarray, begins: np.ndarray, found: np.ndarray) -> np.ndarray:
         """Those candidates around which the text has enough places with words of the item: a true match keeps
@@ -166,10 +220,16 @@ class ItemIndex:
         if not len(self.vocabulary) or not len(found):
             return found[:0]
         size = len(self.vocabulary)
-        code = np.searchsorted(self.vocabulary, flat)
-        code[self.vocabulary[np.minimum(code, size - 1)] != flat] = size
-        keep = np.zeros(len(found), bool)
+        code = self._codes(flat)
         allowed = np.array(self.allowed)
+        # Places with a word of any item bound those with a word of the item.
+        shared = np.concatenate(([0], np.cumsum(code < size)))
+        text, item, place = found.T
+        slack, length = allowed[item], self.lengths[item]
+        low = np.maximum(begins[text] + place - slack, begins[text])
+        high = np.maximum(np.minimum(begins[text] + place + length + slack, begins[text + 1] - 1), low)
+        found = found[shared[high] - shared[low] >= length - slack]
+        keep = np.zeros(len(found), bool)
         many = max(1, min(4096, (1 << 20) // (int(self.lengths.max()) * 2)))
         for at in range(0, len(found), many):
             text, item, place = found[at:at + many].T
@@ -180,7 +240,7 @@ class ItemIndex:
             who = np.repeat(np.arange(len(text)), count)
             spot = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[who]
             pair = item[who] * (size + 1) + code[spot]
-            hit = self.owned[np.minimum(np.searchsorted(self.owned, pair), len(self.owned) - 1)] == pair
+            hit = self._own(pair)
             keep[at:at + many] = np.bincount(who[hit], minlength=len(text)) >= length - slack
         return found[keep]
 
@@ -189,23 +249,31 @@ class ItemIndex:
         found = []
         lengths = np.diff(begins) - 1
         starts_of: dict[int, tuple] = {}
-        for walk, stride, keys, item, offset in self.tables:
+        for walk, stride, marks, keys, item, offset in self.tables:
             if stride not in starts_of:
                 counts = -(-lengths // stride)
                 text = np.repeat(np.arange(len(lengths)), counts)
                 inside = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
                 starts_of[stride] = text, inside
             text, inside = starts_of[stride]
-            own = walk.keys(flat, begins[text] + inside)
+            left, own = walk.windows(flat, begins[text] + inside, marks)
             low = np.searchsorted(keys, own, "left")
-            hit = np.flatnonzero((low < len(keys)) & (keys[np.minimum(low, len(keys) - 1)] == own))
-            if not len(hit):
+            many = np.searchsorted(keys, own, "right") - low
+            if not many.any():
                 continue
-            many = np.searchsorted(keys, own[hit], "right") - low[hit]
-            window = np.repeat(hit, many)
-            entry = np.repeat(low[hit] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            found.append(np.stack((text[window], item[entry], inside[window] - offset[entry]), 1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+            window = np.repeat(left, many)
+            entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            found.append(np.stack((text[window], item[entry], inside[window] - offset[entry])))
+        return self._distinct(np.concatenate(found, 1)) if found else np.zeros((0, 3), np.int64)
+
+    def _distinct(self, found: np.ndarray) -> np.ndarray:
+        """Columns (text, item, place) as rows without repeats, in order."""
+        text, item, place = found
+        first, spread = int(place.min()), int(np.ptp(place)) + 1
+        if (int(text.max()) + 1) * len(self.words) * spread >= 1 << 63:
+            return np.unique(found.T, axis=0)
+        rest, place = np.divmod(np.unique((text * len(self.words) + item) * spread + (place - first)), spread)
+        return np.stack((*np.divmod(rest, len(self.words)), place + first), 1)
 
     def leaks(self, texts: list[bytes], known: Hashes) -> list[list[Leak]]:
         """For each text: (item, edits, first word, end) of each item found in it, best place of each."""

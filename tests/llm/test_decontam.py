@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from fareloom.llm import decontam
@@ -143,3 +144,29 @@ def test_one_index_at_a_time(spark, corpus, monkeypatch):
     clean = decontam.drop_leaks(*frames)
     assert len(most) > 1 and set(most) == {1} and held == []
     assert 0 < clean.count() < len(docs)
+
+
+@pytest.mark.parametrize("pairs", [decontam.MAX_PAIRS, 0])
+def test_most_windows_leave_early_and_no_candidate_is_lost(pairs, monkeypatch):
+    """Windows without a marked key are dropped half-way; the candidates are those of looking up every window's key."""
+    monkeypatch.setattr(decontam, "MAX_PAIRS", pairs)
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("aeinorstlm", k=rng.randint(3, 9))) for _ in range(2000)]
+    items = [rng.choices(vocabulary, k=n) for n in (1, 2, 5, 12, 12, 30, 30, 90)]
+    index = decontam.ItemIndex([(i, " ".join(item)) for i, item in enumerate(items)], 0.8, decontam.REPETITIONS, 7)
+    texts = [rng.choices(vocabulary, k=200) + edited(rng, item, len(item) // 5, vocabulary) + rng.choices(vocabulary, k=50)
+             for item in items]
+    flat, begins = decontam._flat([[w.encode() for w in t] for t in texts], decontam.Hashes())
+    want = set()
+    for walk, stride, marks, keys, item, offset in index.tables:
+        starts = np.concatenate([np.arange(a, b - 1, stride) for a, b in zip(begins, begins[1:])])
+        own = walk.keys(flat, starts)[walk.sampled[-1]]
+        left, last = walk.windows(flat, starts, marks)
+        assert len(left) < 0.1 * len(starts) and (own[left] == last).all()
+        for at, key in zip(starts.tolist(), own):
+            text = int(np.searchsorted(begins, at, "right")) - 1
+            want |= {(text, int(item[e]), at - int(begins[text]) - int(offset[e])) for e in np.flatnonzero(keys == key)}
+    found = index.candidates(flat, begins)
+    assert list(map(tuple, found.tolist())) == sorted(want)
+    leaks = index.leaks([" ".join(t).encode() for t in texts], decontam.Hashes())
+    assert all(i in {leak[0] for leak in of} for i, of in enumerate(leaks))
