@@ -590,3 +590,20 @@ def test_rows_are_checked_by_the_load_itself(spark, rows, tmp_path):
     assert spark.read.parquet(good).count() == 2 and spark.read.parquet(aside).count() == 3
     assert load_checked(df.limit(0), rules, good, aside).rows == 0
     assert load_checked(df, {}, good, aside).rejected == 0
+
+
+def test_files_are_written_from_landed_parts_without_a_shuffle(spark, rows, monkeypatch):
+    from fareloom.sinks import files
+    monkeypatch.setattr(files, "PART_ROWS", 100)
+    df = spark.range(0, 9000, 1, 2).select("id", F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("s"))
+    path, landed = fresh_dir(spark, "files"), fresh_dir(spark, "parts")
+    sinks.write_parquet(df, path, files=3)
+    back = spark.read.parquet(path)
+    assert rows(back) == rows(df) and len(back.inputFiles()) == 3
+    held = [r["count"] for r in back.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert sum(held) == 9000 and max(held) <= 3200
+    df.write.option("maxRecordsPerFile", 100).parquet(landed)
+    assert "Exchange" not in plan_of(files._in_files(spark, landed, df.schema, 3))
+    # Too few parts are dealt row by row.
+    sinks.write_parquet(spark.range(0, 300, 1, 1), path, files=3)
+    assert len(spark.read.parquet(path).inputFiles()) == 3 and spark.read.parquet(path).distinct().count() == 300
