@@ -269,10 +269,12 @@ def json_messages(spark, sf_dir):
         F.col("m.lpep_pickup_datetime").alias("pickup"))
 
 
-def _write_months(rows, kind, pickup, root):
-    """Monthly files of one kind as they are published: gzip CSV, one name per month of the pickup."""
+def _write_months(rows, kind, pickup, root, together=False):
+    """Monthly files of one kind as they are published: gzip CSV, one name per month of the pickup. ``together``: rows
+    of a month lie together already."""
     name = F.concat(F.lit(f"{kind}_tripdata_"), F.date_format(pickup, "yyyy-MM"), F.lit(".csv.gz"))
-    (rows.withColumn("file", name).hint("rebalance", "file").write.partitionBy("file")
+    rows = rows.withColumn("file", name)
+    ((rows if together else rows.hint("rebalance", "file")).write.partitionBy("file")
      .option("header", True).option("compression", "gzip").csv(root))
 
 
@@ -307,7 +309,7 @@ SELECT service_type, CAST(EXTRACT(year FROM pickup_datetime) AS INTEGER) AS year
 FROM trips GROUP BY 1, 2""")
 def ingest_yellow_green(spark, sf_dir):
     """Monthly files of both services through the merge and into the shape that staging reads."""
-    rows, out = trips(spark, sf_dir), {}
+    rows, out = trips(spark, sf_dir, by_month=True), {}
     for service, fields in (("yellow", YELLOW_CSV), ("green", GREEN_CSV)):
         prefix = {"yellow": "tpep", "green": "lpep"}[service]
         names = {"VendorID": "vendorid", f"{prefix}_pickup_datetime": "pickup_datetime",
@@ -316,7 +318,7 @@ def ingest_yellow_green(spark, sf_dir):
         own = rows.where(F.lower("service_type") == service).select(
             *[F.col(names.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in fields.fields])
         root, path = fresh_dir(spark, f"{service}_files"), fresh_dir(spark, service)
-        _write_months(own, service, f"{prefix}_pickup_datetime", root)
+        _write_months(own, service, f"{prefix}_pickup_datetime", root, together=True)
         for _ in range(2):
             ingest.ingest_months(spark, root, service, MONTHS, path, _MONTHLY, gaps=True)
         out[service] = spark.read.parquet(path)

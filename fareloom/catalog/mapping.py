@@ -49,14 +49,15 @@ def _line_columns() -> dict[str, Column]:
 
 
 def trips(spark: SparkSession, sf_dir: str, start: bool = True, pickup: bool = True,
-          dropoff: bool = True) -> DataFrame:
+          dropoff: bool = True, by_month: bool = False) -> DataFrame:
     """Order lines as trips. Parts that a question does not need are left out with their join:
     ``start`` is the order (time and payment), ``pickup`` the supplier, ``dropoff`` the customer.
 
     The customer is joined to the orders and the supplier to the lines before lines and orders meet, so that a
     condition on either location thins them out first.
     Lines and orders both grow with the data, so their join is asked to be a merge join, whose hot keys
-    adaptive execution splits; a broadcast of either would only ever suit small data.
+    adaptive execution splits; a broadcast of either would only ever suit small data. ``by_month`` brings trips of a
+    month together, as columns of the tables, of which there are fewer than of a trip.
     """
     rows, columns = table(spark, sf_dir, "lineitem"), _line_columns()
     if pickup:
@@ -72,6 +73,10 @@ def trips(spark: SparkSession, sf_dir: str, start: bool = True, pickup: bool = T
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
             columns["dolocationid"] = F.col("c_nationkey")
         rows = rows.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    if by_month:
+        rows = rows.select("l_linestatus", "l_suppkey", "l_shipdate", "l_returnflag", "l_linenumber", "l_quantity",
+                           "l_extendedprice", "l_discount", "l_tax", "s_nationkey", "c_nationkey", "o_orderdate",
+                           "o_orderpriority", F.trunc("o_orderdate", "MM").alias("_month")).hint("rebalance", "_month")
     return rows.select(*[columns[c].alias(c) for c in TRIP_COLUMNS if c in columns])
 
 

@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import row_hash
 from ..operators.joins import unmatched
 from ..schemas import TRIP_CSV
-from ..session import discard, file_system, fresh_dir
+from ..session import discard, file_system, fresh_dir, setting
 from ..sources.files import scan_months
 
 PART = "pickup_month"
+#: Folders that a task of monthly files writes side by side; rows of further ones are sorted first.
+MONTHS_PER_TASK = 16
 _PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
 _DROPOFF = {"yellow": "tpep_dropoff_datetime", "green": "lpep_dropoff_datetime"}
 
@@ -31,14 +33,21 @@ def with_month(df: DataFrame, pickup: str) -> DataFrame:
     return df.withColumn(PART, F.date_format(F.col(pickup), "yyyy-MM"))
 
 
-def rows_to_insert(target: DataFrame, staging: DataFrame, key: str = "unique_row_id") -> DataFrame:
-    """Staged rows the target lacks, both with a ``pickup_month``.
+def packed(key: str) -> Column:
+    """A row id in few bytes, equal for equal ids only: a hash in hexadecimal digits as its 16 bytes, another text behind
+    17 zero bytes, null as null."""
+    text = F.col(key).cast("string")
+    return F.when(text.rlike(r"\A[0-9a-f]{32}\z"), F.unhex(text)).otherwise(F.concat(F.lit(bytes(17)), text.cast("binary")))
+
+
+def in_months(target: DataFrame, staged: DataFrame) -> DataFrame:
+    """Target rows that can equal a staged one, both with a ``pickup_month``.
 
     Rows with equal hashes have equal pickup times, so only the months that occur in the staged rows are
     read from the target. The list of months is bounded by the calendar, not by the data.
     """
-    months = [r[0] for r in staging.select(PART).where(F.col(PART).isNotNull()).distinct().collect()]
-    return unmatched(staging, target.where(F.col(PART).isin(months) | F.col(PART).isNull()), key)
+    months = [r[0] for r in staged.select(PART).where(F.col(PART).isNotNull()).distinct().collect()]
+    return target.where(F.col(PART).isin(months) | F.col(PART).isNull())
 
 
 def stored(spark: SparkSession, table_path: str, schema) -> DataFrame:
@@ -51,9 +60,15 @@ def _is_there(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop)
 
 
-def _append(staging: DataFrame, table_path: str, *parts: str) -> None:
+def _append(staging: DataFrame, table_path: str, *parts: str, monthly: bool = False) -> None:
+    """Add rows in their folders. ``monthly``: each task has rows of few months, as a scan of monthly files gives them;
+    they are written where they are, without a shuffle or a sort. Other rows are brought together first."""
     parts = parts or (PART,)
-    staging.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(table_path)
+    if monthly:
+        with setting(staging.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(MONTHS_PER_TASK)):
+            staging.write.mode("append").partitionBy(*parts).parquet(table_path)
+    else:
+        staging.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(table_path)
 
 
 def loaded_files(spark: SparkSession, table_path: str) -> list[str]:
@@ -64,18 +79,31 @@ def loaded_files(spark: SparkSession, table_path: str) -> list[str]:
 
 
 def store(spark: SparkSession, table_path: str, staging: DataFrame,
-          key: str = "unique_row_id") -> None:
+          key: str = "unique_row_id", monthly: bool = False) -> None:
     """Merge staged rows into the table, made by the first load, with one folder per pickup month.
 
-    The rows are landed first, because the merge looks at their months before it looks at their keys; the
-    landed folder goes when the rows are stored.
+    Row ids and months alone are landed and meet the ids of the table; whole rows are read again for those ids that it
+    lacks, if any, so ``staging`` must give the same rows each time, as a scan of files does. The landed folders go when
+    the rows are stored. A first load, or one into months the table lacks, has nothing to meet. ``monthly`` as in
+    ``_append``.
     """
-    landed = fresh_dir(spark, "staging")
-    staging.write.parquet(landed)
-    staging = spark.read.parquet(landed)
-    if _is_there(spark, table_path):
-        staging = rows_to_insert(stored(spark, table_path, staging.schema), staging, key)
-    _append(staging, table_path)
+    if not _is_there(spark, table_path):
+        _append(staging, table_path, monthly=monthly)
+        return
+    landed, lacking = fresh_dir(spark, "staging"), fresh_dir(spark, "lacking")
+    staging.select(packed(key).alias("_id"), PART).write.parquet(landed)
+    ids = spark.read.parquet(landed)
+    held = in_months(stored(spark, table_path, staging.schema), ids).select(packed(key).alias("_id"))
+    if held.isEmpty():
+        _append(staging, table_path, monthly=monthly)
+    else:
+        unmatched(ids.select("_id"), held, "_id").write.parquet(lacking)
+        new = spark.read.schema("_id binary").parquet(lacking)
+        if not new.isEmpty():
+            rows = staging.withColumn("_id", packed(key))
+            found = rows.join(new, "_id", "left_semi").select(staging.columns)
+            _append(found.union(staging.where(F.col(key).isNull())), table_path)
+        discard(spark, lacking)
     discard(spark, landed)
 
 
@@ -90,11 +118,11 @@ def ingest_months(spark: SparkSession, root: str, kind: str, months: Sequence[st
     """
     rows = scan_months(spark, root, kind, months, TRIP_CSV[kind], template, gaps=gaps, bad_rows=bad_rows)
     if kind in _PICKUP:
-        store(spark, table_path, with_month(with_row_id(rows, kind), _PICKUP[kind]))
+        store(spark, table_path, with_month(with_row_id(rows, kind), _PICKUP[kind]), monthly=True)
         return
     rows = with_month(rows, "pickup_datetime")
     known = loaded_files(spark, table_path)
-    _append(rows.where(~F.col("filename").isin(known)) if known else rows, table_path, "filename", PART)
+    _append(rows.where(~F.col("filename").isin(known)) if known else rows, table_path, "filename", PART, monthly=True)
 
 
 def store_bucketed(name: str, staging: DataFrame, path: str, key: str = "unique_row_id", buckets: int = 64) -> DataFrame:

@@ -607,3 +607,31 @@ def test_files_are_written_from_landed_parts_without_a_shuffle(spark, rows, monk
     # Too few parts are dealt row by row.
     sinks.write_parquet(spark.range(0, 300, 1, 1), path, files=3)
     assert len(spark.read.parquet(path).inputFiles()) == 3 and spark.read.parquet(path).distinct().count() == 300
+
+
+def test_a_repeated_load_meets_ids_alone(spark, rows, monkeypatch):
+    """Whole rows are read again only for ids that the table lacks; first loads are written as they are scanned."""
+    appended, append = [], ingest._append
+    monkeypatch.setattr(ingest, "_append", lambda df, *a, **k: (appended.append(k.get("monthly", False)), append(df, *a, **k)))
+    path, hashed = fresh_dir(spark, "months"), "0123456789abcdef" * 2
+
+    def staged(*ids, month="2019-10"):
+        return spark.createDataFrame([(i, "f", month) for i in ids], f"unique_row_id string, filename string, {ingest.PART} string")
+    ingest.store(spark, path, staged("a", "a", hashed), monthly=True)
+    ingest.store(spark, path, staged("a", hashed), monthly=True)
+    assert appended == [True]
+    ingest.store(spark, path, staged("b", month="2019-11"), monthly=True)
+    assert appended == [True, True]
+    ingest.store(spark, path, staged("a", "c", "c", None, hashed.upper(), hashed), monthly=True)
+    assert appended == [True, True, False]
+    held = rows(spark.read.parquet(path).select("unique_row_id"))
+    assert held == sorted([(i,) for i in ("a", "a", hashed, "b", "c", "c", None, hashed.upper())], key=repr)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_packed_ids_are_equal_for_equal_ids_only(spark):
+    ids = ["", "a", "0" * 32, "0" * 16, "\0" * 16, "\0" * 17, "A" * 32, "a" * 32, "a" * 31, "a" * 33, "a" * 32 + "\n", None]
+    df = spark.createDataFrame([(i,) for i in ids], "k string").select(ingest.packed("k").alias("p"))
+    found = [r.p for r in df.collect()]
+    assert found[-1] is None and len({bytes(p) for p in found[:-1]}) == len(ids) - 1
+    assert len(found[2]) == 16
