@@ -17,6 +17,8 @@ from ..sources.files import scan_months
 PART = "pickup_month"
 #: Folders that a task of monthly files writes side by side; rows of further ones are sorted first.
 MONTHS_PER_TASK = 16
+#: Rows of a bucket in the first load of a bucketed table.
+BUCKET_ROWS = 1 << 20
 _PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
 _DROPOFF = {"yellow": "tpep_dropoff_datetime", "green": "lpep_dropoff_datetime"}
 
@@ -129,7 +131,9 @@ def store_bucketed(name: str, staging: DataFrame, path: str, key: str = "unique_
     """Merge staged rows into a catalog table that is bucketed and sorted by the row id; the first load makes it.
 
     The staged rows are dealt to the buckets once, for the join and for the files alike, one file per bucket and load.
-    The target is read bucket by bucket and never shuffled, however large it is. ``buckets`` holds for a new table.
+    The target is read bucket by bucket and never shuffled, however large it is. A new table has ``buckets`` buckets, or
+    as many times 2, 4, 8 and so on as keep those of its first load, which is counted for that, at ``BUCKET_ROWS`` rows
+    on the average. A task sorts one bucket and the rows dealt to it; beyond its memory Spark sorts on disk.
     """
     spark = staging.sparkSession
     there = spark.catalog.tableExists(name)
@@ -139,6 +143,10 @@ def store_bucketed(name: str, staging: DataFrame, path: str, key: str = "unique_
             raise ValueError(f"{name} is not bucketed")
         buckets = int(lines[0]["data_type"])
         staging = staging.select(*spark.table(name).columns)
+    else:
+        rows = staging.count()
+        while rows > buckets * BUCKET_ROWS:
+            buckets *= 2
     new = new_for_buckets(spark.table(name), staging, key, buckets) if there else staging.repartition(buckets, key)
     (new.write.mode("append").bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name))
     return spark.table(name)

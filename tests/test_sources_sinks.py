@@ -635,3 +635,16 @@ def test_packed_ids_are_equal_for_equal_ids_only(spark):
     found = [r.p for r in df.collect()]
     assert found[-1] is None and len({bytes(p) for p in found[:-1]}) == len(ids) - 1
     assert len(found[2]) == 16
+
+
+def test_buckets_follow_the_first_load(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "BUCKET_ROWS", 2)
+    name, path = fresh_name("merged"), str(tmp_path / "merged")
+
+    def staged(*ids):
+        return spark.createDataFrame([(str(i), "f") for i in ids], "unique_row_id string, filename string")
+    ingest.store_bucketed(name, staged(*range(20)), path, buckets=4)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+    assert described["data_type"] == "16"
+    ingest.store_bucketed(name, staged(*range(10, 25)), path, buckets=4)
+    assert rows(spark.table(name).select("unique_row_id")) == rows(staged(*range(25)).select("unique_row_id"))
